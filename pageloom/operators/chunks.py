@@ -87,14 +87,14 @@ def route_tiers(spans: DataFrame, params: ChunkParams = ChunkParams()) -> DataFr
     is_long = F.col("token_count") > params.window_threshold
     is_window = is_long & F.col("section_index").isNotNull()
     text = F.col("text")
-    tk = tok.word_tokens(text) if params.tokenizer == "word" else tok.bpe_tokens(F.when(is_window, text))
+    spans = spans.withColumn("_tk", tok.tokens(F.when(is_window, text), params.tokenizer))
     single = F.array(
         F.struct(
             F.lit(None).cast("int").alias("window"), text.alias("text"), F.col("token_count").alias("n"),
             F.lit(0).alias("start"), F.length(text).alias("end"),
         )
     )
-    pieces = F.when(is_window, tok.windows_of(tk, params.window_size, params.window_overlap)).otherwise(single)
+    pieces = F.when(is_window, tok.windows_of(F.col("_tk"), params.window_size, params.window_overlap)).otherwise(single)
     df = spans.withColumn("_w", F.explode(pieces))
     windowed = F.col("_w.window").isNotNull()
     kind = F.when(F.col("section_index").isNull(), SUMMARY).when(windowed, WINDOW).otherwise(SECTION)

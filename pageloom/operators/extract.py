@@ -103,10 +103,11 @@ def is_removed(n: str) -> str:
     )
 
 
-def with_content(parsed: DataFrame, site: Site) -> DataFrame:
+def with_content(parsed: DataFrame, site: Site, whole_body: bool = False) -> DataFrame:
     """Adds ``title``, ``root``, ``visible`` (the node array with removed subtrees blanked), ``body``
-    (descendants of the root) and ``headings``."""
-    df = columns(parsed, title=title(site), _root=content_root())
+    (descendants of the root) and ``headings``. ``whole_body`` takes the body as the root."""
+    body_root = struct(node=first(having("nodes", "body")), theme="false")
+    df = columns(parsed, title=title(site), _root=body_root if whole_body else content_root())
     df = df.filter("_root.node is not null").withColumn("root", F.col("_root.node"))
     closing = last(keep(having(subtree("nodes", "root"), "section"), lambda s: f"{s}.parent = root.id"))
     df = columns(df, _closing=f"if(_root.theme, {closing}, null)")
@@ -376,7 +377,9 @@ def sections() -> str:
 
         return keep(each(hs, one, 2), lambda s: f"{s}.heading <> ''")
 
-    return bind(keep("headings", lambda h: f"{h}.id > root.id and {h}.id <= root.end"), read)
+    tags = ", ".join(q(t) for t in HEADINGS)
+    shown = keep("headings", lambda h: f"{h}.id > root.id and {h}.id <= root.end and get(visible, {h}.id).tag in ({tags})")
+    return bind(shown, read)
 
 
 TITLE_PHRASE = r"(?U)\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\b"
@@ -430,6 +433,12 @@ def with_webinar_links(media: DataFrame) -> DataFrame:
     return df.withColumn("body", F.expr(subtree("visible", "root"))).drop("_marks")
 
 
+def extract_links(pages: DataFrame, site: Site = Site(), whole_body: bool = False, key: str = "page_id") -> DataFrame:
+    """One row per link, in page order."""
+    content = columns(with_content(parse_pages(pages), site, whole_body), links=links(site))
+    return parts(content, "links", key).drop("node_id")
+
+
 def extract_articles(pages: DataFrame, site: Site = Site()) -> DataFrame:
     """One row per page with everything the page holds. No shuffle; ``pages`` needs ``url`` and
     ``html`` and keeps its other columns."""
