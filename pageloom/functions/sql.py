@@ -8,6 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import count
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 _names = count(1)
 
 
@@ -36,10 +39,18 @@ def some(items: str, body: Callable[[str], str]) -> str:
 
 
 def bind(value: str, use: Callable[[str], str]) -> str:
-    """Evaluate ``value`` once and hand it to ``use``."""
+    """Evaluate ``value`` once and hand it to ``use``.
+
+    Also needed for plain columns that a lambda reads: the optimizer may inline the column's
+    expression into the lambda, which would then compute it anew for every element."""
     return f"element_at(transform(array({value}), {fn(use)}), 1)"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``bind`` for Column expressions."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def first(items: str) -> str:
     return f"try_element_at({items}, 1)"
 

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.functions.sql import once
+
 WORD_TOKEN = r"(?U)\s*\S+"
 
 
@@ -93,6 +95,10 @@ def windows_of(tk: Column, size: int, overlap: int) -> Column:
     """Array of ``(window, text, n, start, end)`` over a token array; offsets count characters.
 
     Token text is measured once per step, so the work is linear in the text length."""
+    return once(tk, lambda t: _windows(t, size, overlap))
+
+
+def _windows(tk: Column, size: int, overlap: int) -> Column:
     step = step_of(size, overlap)
     n = F.size(tk)
     last = F.when(n <= size, F.lit(0)).otherwise(F.ceil((n - size) / F.lit(float(step))).cast("int"))
@@ -104,13 +110,13 @@ def windows_of(tk: Column, size: int, overlap: int) -> Column:
         lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)),
     )
 
-    def window(i):
+    def window(i, at):
         part = F.slice(tk, i * step + 1, size)
         return F.struct(
             i.alias("window"),
             F.array_join(part, "").alias("text"),
             F.size(part).cast("long").alias("n"),
-            F.element_at(starts, i + 1).alias("start"),
+            F.element_at(at, i + 1).alias("start"),
         )
 
     def close(w):
@@ -119,7 +125,7 @@ def windows_of(tk: Column, size: int, overlap: int) -> Column:
             w["start"].alias("start"), (w["start"] + F.length(w["text"])).alias("end"),
         )
 
-    return F.transform(F.transform(index, window), close)
+    return F.transform(once(starts, lambda at: F.transform(index, lambda i: window(i, at))), close)
 
 
 def token_windows(df: DataFrame, text: str, size: int = 512, overlap: int = 64, tokenizer: str = "word") -> DataFrame:
@@ -127,7 +133,7 @@ def token_windows(df: DataFrame, text: str, size: int = 512, overlap: int = 64,
     if overlap >= size:
         raise ValueError("overlap must be smaller than the window size")
     keep = [c for c in df.columns if c != text]
-    tokenised = df.select(*keep, tokens(F.col(text), tokenizer).alias("_tk")).filter(F.size("_tk") > 0)
-    return tokenised.select(*keep, F.inline(windows_of(F.col("_tk"), size, overlap))).withColumnRenamed(
+    tokenised = df.filter(F.col(text).rlike(r"(?U)\S")).select(*keep, tokens(F.col(text), tokenizer).alias("_tk"))
+    return tokenised.select(*keep, F.inline_outer(windows_of(F.col("_tk"), size, overlap))).withColumnRenamed(
         "n", "token_count"
     )

@@ -6,6 +6,7 @@ two explodes: no shuffle unless a summary table is joined in.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import tokens as tok
+from pageloom.functions.sql import once
 from pageloom.functions.text import chunk_id, normalise, word_count
 
 SUMMARY, SECTION, WINDOW = "article_summary", "section", "sliding_window"
@@ -39,7 +41,7 @@ def _counts(texts, tokenizer: str):
         return F.transform(texts, lambda t: tok.n_tokens(t))
 
     @F.pandas_udf("array<bigint>")
-    def count(batches):
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = tok._encoding("byte_bpe_multi_50k.tiktoken")
         for lists in batches:
             yield pd.Series([[len(enc.encode_ordinary(t)) for t in ts] for ts in lists])
@@ -54,13 +56,13 @@ def section_spans(articles: DataFrame, params: ChunkParams = ChunkParams()) -> D
     df = articles.withColumn("_norm", F.transform("sections", lambda s: normalise(s["content"])))
     df = df.withColumn("_count", _counts(F.col("_norm"), params.tokenizer))
     items = F.filter(
-        F.transform(
+        once(F.col("_norm"), lambda norm: once(F.col("_count"), lambda n: F.transform(
             "sections",
             lambda s, i: F.struct(
                 i.alias("section_index"), s["heading"].alias("heading"), s["content"].alias("raw"),
-                F.get("_norm", i).alias("text"), F.get("_count", i).alias("token_count"),
+                F.get(norm, i).alias("text"), F.get(n, i).alias("token_count"),
             ),
-        ),
+        ))),
         lambda x: (x["text"] != "") & (x["token_count"] >= params.section_min_tokens),
     )
     df = df.withColumn("_items", items)
@@ -71,14 +73,14 @@ def section_spans(articles: DataFrame, params: ChunkParams = ChunkParams()) -> D
         "p -> named_struct('char_start', p, 'char_end', p + length(x.raw)))))"
     )
     df = df.withColumn("_places", places)
-    spans = F.transform(
+    spans = once(F.col("_places"), lambda places: F.transform(
         "_items",
         lambda x, i: F.struct(
             x["section_index"].alias("section_index"), x["heading"].alias("heading"), x["text"].alias("text"),
-            x["token_count"].alias("token_count"), F.get("_places", i)["char_start"].alias("char_start"),
-            F.get("_places", i)["char_end"].alias("char_end"),
+            x["token_count"].alias("token_count"), F.get(places, i)["char_start"].alias("char_start"),
+            F.get(places, i)["char_end"].alias("char_end"),
         ),
-    )
+    ))
     return df.withColumn("spans", spans).drop("_norm", "_count", "_items", "_places")
 
 
@@ -95,7 +97,7 @@ def route_tiers(spans: DataFrame, params: ChunkParams = ChunkParams()) -> DataFr
         )
     )
     pieces = F.when(is_window, tok.windows_of(F.col("_tk"), params.window_size, params.window_overlap)).otherwise(single)
-    df = spans.withColumn("_w", F.explode(pieces))
+    df = spans.withColumn("_w", F.explode_outer(pieces))
     windowed = F.col("_w.window").isNotNull()
     kind = F.when(F.col("section_index").isNull(), SUMMARY).when(windowed, WINDOW).otherwise(SECTION)
     df = df.withColumn("chunk_type", kind)
@@ -135,7 +137,7 @@ def chunk_articles(
         )
         df = df.withColumn("spans", F.when(F.col("_s") == "", F.col("spans")).otherwise(
             F.concat(F.array(summary), F.col("spans"))))
-    rows = df.select("article_id", "chapter_number", "title", F.inline("spans"))
+    rows = df.select("article_id", "chapter_number", "title", F.inline_outer("spans")).filter("text is not null")
     return route_tiers(rows, params)
 
 

@@ -35,7 +35,8 @@ def discover(pages: DataFrame, site: Site = Site()) -> DataFrame:
         )
 
     found = keep(each(having("nodes", "a"), read), lambda x: f"{x}.slug <> ''")
-    rows = parse_pages(pages).select("page_id", "chapter_slug", F.posexplode(F.expr(found)).alias("seq", "x"))
+    rows = parse_pages(pages).select("page_id", "chapter_slug", F.posexplode_outer(F.expr(found)).alias("seq", "x"))
+    rows = rows.filter("seq is not null")
     rows = rows.select("page_id", "chapter_slug", "seq", "x.slug", "x.title", "x.url")
     return first_per_key(rows, ["chapter_slug", "slug"], ["page_id", "seq"])
 

@@ -107,12 +107,16 @@ def with_content(parsed: DataFrame, site: Site, whole_body: bool = False) -> Dat
     """Adds ``title``, ``root``, ``visible`` (the node array with removed subtrees blanked), ``body``
     (descendants of the root) and ``headings``. ``whole_body`` takes the body as the root."""
     body_root = struct(node=first(having("nodes", "body")), theme="false")
+    parsed = parsed.filter("exists(nodes, n -> n.tag = 'body')")
     df = columns(parsed, title=title(site), _root=body_root if whole_body else content_root())
-    df = df.filter("_root.node is not null").withColumn("root", F.col("_root.node"))
-    closing = last(keep(having(subtree("nodes", "root"), "section"), lambda s: f"{s}.parent = root.id"))
+    df = df.withColumn("root", F.col("_root.node"))
+    closing = bind(
+        "root", lambda r: last(keep(having(subtree("nodes", r), "section"), lambda s: f"{s}.parent = {r}.id"))
+    )
     df = columns(df, _closing=f"if(_root.theme, {closing}, null)")
     df = columns(df, _cta=f"if(_closing is not null and {is_call_to_action('_closing', site)}, _closing.id, -1)")
-    removed = keep(subtree("nodes", "root"), lambda n: f"{is_removed(n)} or {n}.id = _cta")
+    below = subtree("nodes", "root")
+    removed = bind("_cta", lambda cta: keep(below, lambda n: f"{is_removed(n)} or {n}.id = {cta}"))
     df = columns(df, visible=overlay("nodes", each(removed, mark)))
     heads = each(
         having("visible", *HEADINGS),
@@ -124,9 +128,9 @@ def with_content(parsed: DataFrame, site: Site, whole_body: bool = False) -> Dat
     return columns(df, body=subtree("visible", "root"), headings=heads).drop("_root", "_closing", "_cta")
 
 
-def context_of(n: str) -> str:
+def context_of(n: str, headings: str) -> str:
     """Text of the nearest heading that starts before the node, anywhere on the page."""
-    return last(keep("headings", lambda h: f"{h}.id < {n}.id")) + ".text"
+    return last(keep(headings, lambda h: f"{h}.id < {n}.id")) + ".text"
 
 
 def image_name(img: str) -> str:
@@ -179,10 +183,10 @@ def images() -> str:
         figure = last(keep(having("visible", "figure"), lambda f: f"{f}.id < {img}.id and {f}.end >= {img}.id"))
         return joined_text("visible", first(having(subtree("visible", figure), "figcaption")))
 
-    def read(img):
+    def read(img, headings):
         return struct(
             src=image_source(img), alt_text=f"coalesce({attr(img, 'alt')}, '')",
-            title=f"nullif({attr(img, 'title')}, '')", caption=caption(img), context=context_of(img),
+            title=f"nullif({attr(img, 'title')}, '')", caption=caption(img), context=context_of(img, headings),
         )
 
     def finish(x):
@@ -191,8 +195,8 @@ def images() -> str:
             caption=f"{x}.caption", context=f"{x}.context",
         )
 
-    found = keep(each(having("body", "img"), read), lambda x: f"{x}.src <> ''")
-    return each(first_per_key(found, "src"), finish)
+    listed = bind("headings", lambda hs: each(having("body", "img"), lambda img: read(img, hs)))
+    return each(first_per_key(keep(listed, lambda x: f"{x}.src <> ''"), "src"), finish)
 
 
 def video_id(frame: str) -> str:
@@ -202,19 +206,19 @@ def video_id(frame: str) -> str:
 
 
 def videos() -> str:
-    def read(frame):
+    def read(frame, headings):
         return bind(
             video_id(frame),
             lambda vid: struct(
                 url=f"concat('https://www.youtube.com/watch?v=', {vid})",
                 embed_url=f"concat('https://www.youtube.com/embed/', {vid})",
                 video_id=vid, platform="'youtube'", title=f"nullif({attr(frame, 'title')}, '')",
-                context=context_of(frame),
+                context=context_of(frame, headings),
             ),
         )
 
-    found = keep(each(having("body", "iframe"), read), lambda x: f"{x}.video_id is not null")
-    return first_per_key(found, "video_id")
+    listed = bind("headings", lambda hs: each(having("body", "iframe"), lambda f: read(f, hs)))
+    return first_per_key(keep(listed, lambda x: f"{x}.video_id is not null"), "video_id")
 
 
 # ---- webinars and callouts -----------------------------------------------------------------------
@@ -268,7 +272,7 @@ def webinar_descriptions(site: Site) -> str:
 def webinars(site: Site) -> str:
     """Expects ``descriptions`` (``webinar_descriptions``) on the row."""
 
-    def describe(a, img, full):
+    def describe(a, img, full, headings, descriptions):
         slug = group(attr(a, "href"), r"/webinar/([^/?#]+)")
         thumb = either(
             attr(img, "data-lazy-src"), attr(img, "data-src"), f"nullif({attr(img, 'src')}, '')"
@@ -278,27 +282,28 @@ def webinars(site: Site) -> str:
             title=either(
                 joined_text("visible", a), image_name(img), title_case(f"replace({slug}, '-', ' ')"), "'Webinar'"
             ),
-            description=last(keep("descriptions", lambda d: f"{d}.url = {full}")) + ".description",
+            description=last(keep(descriptions, lambda d: f"{d}.url = {full}")) + ".description",
             thumbnail_url=bind(thumb, lambda t: f"if(startswith({t}, 'data:'), null, {resolve_url('url', t)})"),
-            context=bind(context_of(a), lambda h: f"if(contains({h}, 'In This Webinar'), null, {h})"),
+            context=bind(context_of(a, headings), lambda h: f"if(contains({h}, 'In This Webinar'), null, {h})"),
         )
 
-    def read(a):
+    def read(a, hs, ds):
         return bind(
             first(having(subtree("visible", a), "img")),
-            lambda img: bind(resolve_url("url", attr(a, "href")), lambda full: describe(a, img, full)),
+            lambda img: bind(resolve_url("url", attr(a, "href")), lambda full: describe(a, img, full, hs, ds)),
         )
 
     found = keep(having("body", "a"), lambda a: f"coalesce({matches(attr(a, 'href'), site.webinar_pattern)}, false)")
-    return first_per_key(each(found, read), "url")
+    listed = bind("headings", lambda hs: bind("descriptions", lambda ds: each(found, lambda a: read(a, hs, ds))))
+    return first_per_key(listed, "url")
 
 
 def webinar_marks() -> str:
     """Subtrees to be replaced by a bold webinar link: image containers and announcement headings."""
 
-    def known(link, usable):
+    def known(link, usable, webinars):
         def find(href):
-            hits = keep("webinars", lambda w: f"contains({w}.url, {href}) or contains({href}, {w}.url)")
+            hits = keep(webinars, lambda w: f"contains({w}.url, {href}) or contains({href}, {w}.url)")
             return f"if({usable(href)}, {first(hits)}, null)"
 
         return bind(bind(link, lambda a: attr(a, "href")), find)
@@ -306,19 +311,23 @@ def webinar_marks() -> str:
     def bold(start, name, target, end):
         return f"concat({q('\n\n**' + start + '[')}, {name}, '](', {target}, {q(')**' + end)})"
 
-    def container(n):
-        webinar = known(_first_link(n), lambda href: f"contains({href}, '/webinar/')")
+    def container(n, ws):
+        webinar = known(_first_link(n), lambda href: f"contains({href}, '/webinar/')", ws)
         return mark(n, bind(webinar, lambda w: bold("\U0001f4f9 ", f"{w}.title", f"{w}.url", "\n\n")))
 
-    def announcement(t):
-        webinar = known(_first_link(_column_before(t), "(?i)/webinar/"), lambda href: f"{href} is not null")
+    def announcement(t, ws):
+        webinar = known(_first_link(_column_before(t), "(?i)/webinar/"), lambda href: f"{href} is not null", ws)
         return bind(
             _enclosing(t, "h2", "h3", "h4", "h5", "h6", "p", "div"),
             lambda h: mark(h, bold("", joined_text("visible", h), f"{webinar}.url", "\n\n")),
         )
 
     boxes = keep(having("body", "div"), lambda n: class_like(n, "avia-image-container"))
-    marks = f"concat({each(boxes, container)}, {each(_announcements(), announcement)})"
+    marks = bind(
+        "webinars",
+        lambda ws: f"concat({each(boxes, lambda n: container(n, ws))}, "
+        f"{each(_announcements(), lambda t: announcement(t, ws))})",
+    )
     return f"array_sort({keep(marks, lambda m: f'{m}.text is not null')})"
 
 
@@ -355,12 +364,12 @@ def sections() -> str:
     """One section per h2-h4; content is the paragraphs up to the next heading. Lists and tables are
     left out, and a blank heading swallows its text. Links are matched by node range."""
 
-    def read(hs):
+    def read(hs, links):
         def one(h, i):
             def within(until):
                 below = f"slice(visible, {h}.id + 2, greatest({until} - {h}.id, 0))"
                 paragraphs = each(having(below, "p"), lambda p: inline_markdown("visible", p))
-                inside = keep("links", lambda x: f"{x}.node_id > {h}.id and {x}.node_id <= {until}")
+                inside = keep(links, lambda x: f"{x}.node_id > {h}.id and {x}.node_id <= {until}")
                 return struct(
                     heading=f"{h}.text", level=f"{h}.level",
                     content=strip(f"array_join({paragraphs}, {q('\n\n')})"),
@@ -378,8 +387,10 @@ def sections() -> str:
         return keep(each(hs, one, 2), lambda s: f"{s}.heading <> ''")
 
     tags = ", ".join(q(t) for t in HEADINGS)
-    shown = keep("headings", lambda h: f"{h}.id > root.id and {h}.id <= root.end and get(visible, {h}.id).tag in ({tags})")
-    return bind(shown, read)
+    shown = bind(
+        "root", lambda r: keep("headings", lambda h: f"{h}.id > {r}.id and {h}.id <= {r}.end and get(visible, {h}.id).tag in ({tags})")
+    )
+    return bind("links", lambda ls: bind(shown, lambda hs: read(hs, ls)))
 
 
 TITLE_PHRASE = r"(?U)\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\b"
@@ -459,8 +470,11 @@ def extract_articles(pages: DataFrame, site: Site = Site()) -> DataFrame:
 
 
 def parts(articles: DataFrame, part: str, key: str = "page_id") -> DataFrame:
-    """One row per element of a nested column, with its place in the page."""
-    listed = articles.select(key, F.posexplode(part).alias("seq", "_x"))
+    """One row per element of a nested column, with its place in the page.
+
+    Computed arrays are exploded with the outer form: for the plain form the optimizer adds a size
+    test that it pushes down and that computes the whole array a second time."""
+    listed = articles.select(key, F.posexplode_outer(part).alias("seq", "_x")).filter("seq is not null")
     return listed.select(key, "seq", "_x.*")
 
 

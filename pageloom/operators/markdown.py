@@ -180,8 +180,8 @@ def root_markdown() -> str:
     """Blocks of the content root joined by blank lines; needs ``root``, ``nodes``, ``visible``, ``body``."""
     held = "^(/(" + "|".join(rules.CONTAINERS) + r"))*/[^/]+\z"
     containers = ", ".join(q(c) for c in rules.CONTAINERS)
-    blocks = keep(
-        "body", lambda n: f"{n}.tag not in ('', {containers}) and {matches(below_path(n, 'root'), held)}"
+    blocks = bind(
+        "root", lambda r: keep("body", lambda n: f"{n}.tag not in ('', {containers}) and {matches(below_path(n, r), held)}")
     )
     texts = keep(each(blocks, lambda n: block_markdown("visible", n)), lambda t: matches(t, r"(?U)\S"))
     return strip(sub(f"array_join({texts}, {q('\n\n')})", r"\n{3,}", "\n\n"))

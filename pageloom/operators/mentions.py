@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.functions.sql import once
 from pageloom.functions.text import ENTITY_TYPES, confidence, entity_id, stringify
 from pageloom.operators.chunks import SUMMARY
 
@@ -26,29 +27,34 @@ def words_with_offsets(df: DataFrame, text: str, lookahead: int = 0) -> DataFram
     ``ahead``: the pieces up to ``lookahead`` words further. Offsets are summed in blocks inside the
     row, so there is no window and no shuffle."""
     carried = [c for c in df.columns if c != text]
+    df = df.filter(F.length(text) > 0)
     df = df.select(*carried, F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)).alias("_p"))
-    df = df.filter(F.size("_p") > 0)
     numbers = F.sequence(F.lit(0), F.floor((F.size("_p") - 1) / BLOCK).cast("int"))
-    blocks = F.transform(
+    blocks = once(F.col("_p"), lambda p: F.transform(
         numbers,
         lambda b: F.struct(
-            F.slice("_p", b * BLOCK + 1, BLOCK).alias("own"),
-            F.slice("_p", (b + 1) * BLOCK + 1, max(1, 2 * lookahead)).alias("next"),
+            F.slice(p, b * BLOCK + 1, BLOCK).alias("own"),
+            F.slice(p, (b + 1) * BLOCK + 1, max(1, 2 * lookahead)).alias("next"),
         ),
-    )
+    ))
     df = df.select(*carried, blocks.alias("_b"))
     df = df.withColumn("_at", _running(F.lit(0), F.col("_b"), lambda b: F.length(F.array_join(b["own"], ""))))
-    df = df.select(*carried, F.posexplode("_b").alias("_i", "_blk"), F.col("_at"))
+    df = df.select(*carried, F.posexplode_outer("_b").alias("_i", "_blk"), F.col("_at"))
     df = df.select(*carried, F.col("_blk.own").alias("_own"), F.col("_blk.next").alias("_next"), F.get("_at", F.col("_i")).alias("_base"))
     df = df.withColumn("_starts", _running(F.col("_base"), F.col("_own"), F.length))
-    word = F.transform(
-        "_own",
-        lambda p, i: F.struct(
-            p.alias("source_text"), F.get("_starts", i).alias("start_pos"),
-            *([F.slice(F.concat("_own", "_next"), i + 2, 2 * lookahead).alias("ahead")] if lookahead else []),
-        ),
-    )
-    rows = df.select(*carried, F.inline(F.filter(word, lambda w: w["source_text"].rlike(r"^\p{L}"))))
+
+    def read(starts, pieces):
+        return F.transform(
+            "_own",
+            lambda p, i: F.struct(
+                p.alias("source_text"), F.get(starts, i).alias("start_pos"),
+                *([F.slice(pieces, i + 2, 2 * lookahead).alias("ahead")] if lookahead else []),
+            ),
+        )
+
+    word = once(F.col("_starts"), lambda at: once(F.concat("_own", "_next"), lambda ps: read(at, ps)))
+    rows = df.select(*carried, F.inline_outer(F.filter(word, lambda w: w["source_text"].rlike(r"^\p{L}"))))
+    rows = rows.filter("source_text is not null")
     return rows.withColumn("word", F.lower("source_text"))
 
 

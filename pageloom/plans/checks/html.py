@@ -34,7 +34,7 @@ SELECT page_id, url, title, '# ' || title || coalesce((SELECT string_agg(chr(10)
     SELECT i, CASE WHEN contains(x, '<b>') THEN {_TRIM.format("split_part(x, '<b>', 1)")} || '**' || {_TRIM.format("replace(split_part(x, '<b>', 2), '<br>', chr(10))")} || '**'
       ELSE {_TRIM.format("replace(x, '<br>', chr(10))")} END AS b FROM (
       SELECT i, {_decoded("replace(ps[i], '</p>', '')")} AS x FROM (SELECT unnest(range(2, len(ps) + 1)) AS i))) WHERE trim(b) <> ''), '') AS md
-FROM (SELECT page_id, url, {_decoded("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} AS title,
+FROM (SELECT page_id, url, {_TRIM.format(_decoded("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')"))} AS title,
   string_split(regexp_extract(html, '</h1>(.*)</article>', 1, 's'), '<p>') AS ps FROM pages)"""
 
 
@@ -61,7 +61,7 @@ def page_nodes(spark, sf):
         F.count_if(F.col("tag") == "p").alias("paragraphs"))
 
 
-@register("page_titles", f"SELECT page_id, {_decoded("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} AS title FROM pages")
+@register("page_titles", f"SELECT page_id, {_TRIM.format(_decoded("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')"))} AS title FROM pages")
 def page_titles(spark, sf):
     return columns(parse_pages(st.pages(spark, sf)), title=ex.title(st.SITE)).select("page_id", "title")
 
@@ -163,7 +163,8 @@ def resolve_links(spark, sf):
 
 @register("guide_images", sql(f"""
 SELECT doc_id AS page_id, 0 AS seq, '{_ROOT}/img/' || doc_id || '.png' AS url, 'Plate ' || doc_id AS alt_text, NULL AS title, 'Figure ' || doc_id AS caption, 'Media' AS context FROM doc
-UNION ALL SELECT doc_id, 1, CASE WHEN article_number = 0 THEN '{_ROOT}/guide/img/shared.png' ELSE '{_ROOT}/guide/' || chapter_slug || '/img/shared.png' END, '', 'Shared', NULL, 'Media' FROM doc""", "doc"))
+UNION ALL SELECT doc_id, 1, CASE WHEN article_number = 0 THEN '{_ROOT}/guide/img/shared.png' ELSE '{_ROOT}/guide/' || chapter_slug || '/img/shared.png' END, '', 'Shared', NULL, 'Media' FROM doc
+UNION ALL SELECT doc_id, 2, '{_ROOT}/thumb/' || doc_id || '.png', '', NULL, NULL, 'Media' FROM doc""", "doc"))
 def guide_images(spark, sf):
     df = columns(ex.with_content(parse_pages(st.guide_pages(spark, sf)), st.SITE), images=ex.images())
     return ints(ex.parts(df, "images"), "seq")

@@ -101,7 +101,7 @@ def chapter_of_article(spark, sf):
 
 @register("section_places", sql("SELECT article_id, section_index, char_start, char_end FROM span", "span"))
 def section_places(spark, sf):
-    df = ch.section_spans(st.articles(spark, sf), st.PARAMS).select("article_id", F.inline("spans"))
+    df = ch.section_spans(st.articles(spark, sf), st.PARAMS).select("article_id", F.inline_outer("spans")).filter("text is not null")
     return ints(df.select("article_id", "section_index", "char_start", "char_end"), "section_index", "char_start", "char_end")
 
 

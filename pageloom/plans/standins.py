@@ -86,7 +86,7 @@ def glossary(spark: SparkSession, sf: str) -> DataFrame:
 def gazetteer(spark: SparkSession, sf: str) -> DataFrame:
     """The 200 most frequent words of six letters or more; the limit also proves it small enough to
     broadcast, which Spark then does by its own estimate."""
-    words = documents(spark, sf).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("name"))
+    words = documents(spark, sf).select(F.explode_outer(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("name"))
     top = words.filter(F.length("name") >= 6).groupBy("name").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "name").limit(200)
     types = F.array(*[F.lit(t) for t in ENTITY_TYPES])
     return top.select("name", F.get(types, F.length("name") % 10).alias("entity_type"))
