@@ -21,7 +21,9 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
 def read_graph_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with typed headers: columns starting with a colon go, ``name:type`` becomes ``name`` cast by
     its suffix, and edge ends become ``start_id`` and ``end_id``."""
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"')
+    raw = spark.read.csv(
+        path, header=True, multiLine=True, escape='"', quote='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
     out = []
     for column in raw.columns:
         name, _, suffix = column.partition(":")

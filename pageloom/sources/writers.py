@@ -198,7 +198,9 @@ def typed_header(df: DataFrame, name: str) -> DataFrame:
 
 def write_graph_csv(df: DataFrame, name: str, folder: str) -> str:
     path = f"{folder}/{name}"
-    typed_header(df, name).write.mode("overwrite").csv(path, header=True, escape='"', quote='"', emptyValue="")
+    typed_header(df, name).write.mode("overwrite").csv(
+        path, header=True, escape='"', quote='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
     return path
 
 
