@@ -16,10 +16,11 @@ from pageloom.operators.mentions import link_mentions, merge_entities
 from pageloom.plans import standins as st
 from pageloom.plans.checks import register
 from pageloom.plans.checks.ctes import sql
-from pageloom.plans.checks.graph import chunks_with_entities, relationships
+from pageloom.operators.chunks import with_entity_ids
+from pageloom.plans.checks.graph import relationships
 from pageloom.plans.checks.lookup import embedded
 from pageloom.plans.checks.text import chunks, ints
-from pageloom.session import shared_dir
+from pageloom.session import shared_dir, written
 from pageloom.sources import readers as rd
 from pageloom.sources import writers as wr
 from pageloom.streaming import incremental as inc
@@ -111,7 +112,7 @@ UNION ALL SELECT 71, 'MATCH (s:Entity {{entity_id: ''' || source_entity_id || ''
     "chap", "doc", "entity", "term", "mention", "relation"))
 def graph_statements(spark, sf):
     """Node and edge statements; headings and the article nodes, whose summaries differ by source, are left to the tests."""
-    found = st.mentions(spark, sf)
+    found = written(st.mentions(spark, sf))
     rels = rl.collect_relationships(rl.resolve_relationships(st.raw_relationships(found), found))
     arts = st.articles(spark, sf).select("article_id", "title", "url", F.lit("").alias("summary"), "word_count", "chapter_number")
     lines = wr.graph_statements(st.chapters(spark, sf), arts, merge_entities(found), st.glossary(spark, sf), found, rels)
@@ -125,7 +126,9 @@ FROM chunk LEFT JOIN (SELECT chunk_id, count(*) AS n FROM link GROUP BY 1) USING
 UNION ALL SELECT 3, 'MATCH (a:Article {{article_id: ''' || source_article_id || '''}})' || chr(10) || 'MATCH (c:Chunk {{chunk_id: ''' || chunk_id || '''}})' || chr(10) || 'CREATE (a)-[:HAS_CHUNK]->(c);' FROM chunk
 UNION ALL SELECT 5, 'MATCH (c:Chunk {{chunk_id: ''' || chunk_id || '''}})' || chr(10) || 'MATCH (e:Entity {{entity_id: ''' || entity_id || '''}})' || chr(10) || 'CREATE (c)-[:MENTIONS_ENTITY]->(e);' FROM link""", "chunk", "link"))
 def chunk_statements(spark, sf):
-    lines = wr.chunk_statements(chunks_with_entities(spark, sf), link_mentions(chunks(spark, sf), st.mentions(spark, sf)))
+    df = written(chunks(spark, sf))
+    links = written(link_mentions(df, st.mentions(spark, sf)))
+    lines = wr.chunk_statements(with_entity_ids(df, links), links)
     return lines.filter(F.col("k1").isin(1, 3, 5)).select("k1", "line")
 
 

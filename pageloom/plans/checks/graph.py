@@ -17,6 +17,7 @@ from pageloom.plans import standins as st
 from pageloom.plans.checks import register
 from pageloom.plans.checks.ctes import sql
 from pageloom.plans.checks.text import chunks, ints
+from pageloom.session import written
 
 PLACE = ["start_pos", "end_pos"]
 
@@ -26,16 +27,16 @@ def links(spark, sf):
 
 
 def chunks_with_entities(spark, sf):
-    df = chunks(spark, sf)
+    df = written(chunks(spark, sf))
     return ch.with_entity_ids(df, mn.link_mentions(df, st.mentions(spark, sf)))
 
 
 def entities(spark, sf):
-    return mn.merge_entities(st.mentions(spark, sf))
+    return mn.merge_entities(written(st.mentions(spark, sf)))
 
 
 def relationships(spark, sf):
-    found = st.mentions(spark, sf)
+    found = written(st.mentions(spark, sf))
     return rl.resolve_relationships(st.raw_relationships(found), found)
 
 
@@ -115,7 +116,7 @@ SELECT (SELECT count(*) FROM chunk) AS total_chunks, (SELECT count(*) FROM chunk
   (SELECT sum(token_count)::BIGINT FROM chunk) AS total_tokens, (SELECT count(DISTINCT source_article_id) FROM chunk) AS articles_processed,
   (SELECT count(*) FROM link) AS total_entities_linked""", "chunk", "link"))
 def chunk_stats(spark, sf):
-    df = chunks(spark, sf)
+    df = written(chunks(spark, sf))
     return ch.chunk_stats(df, mn.link_mentions(df, st.mentions(spark, sf)))
 
 
@@ -156,7 +157,7 @@ def relationships_by_type(spark, sf):
 SELECT (SELECT count(*) FROM mention) AS mention_count, (SELECT count(DISTINCT article_id) FROM mention) AS article_count,
   (SELECT count(*) FROM entity) AS entity_count, (SELECT count(*) FROM relation) AS relationship_count""", "mention", "entity", "relation"))
 def enrichment_counts(spark, sf):
-    found = st.mentions(spark, sf)
+    found = written(st.mentions(spark, sf))
     rels = rl.collect_relationships(rl.resolve_relationships(st.raw_relationships(found), found))
     return ro.enrichment_counts(found, mn.merge_entities(found), rels)
 
@@ -165,7 +166,7 @@ def enrichment_counts(spark, sf):
 SELECT coalesce(m.id, r.id) AS source_article_id, coalesce(m.n, 0) AS entity_count, coalesce(r.n, 0) AS relationship_count
 FROM (SELECT article_id AS id, count(*) AS n FROM mention GROUP BY 1) m FULL JOIN (SELECT source_article_id AS id, count(*) AS n FROM rel GROUP BY 1) r ON m.id = r.id""", "mention", "rel"))
 def article_enrichment_counts(spark, sf):
-    found = st.mentions(spark, sf)
+    found = written(st.mentions(spark, sf))
     return ro.article_enrichment_counts(found, rl.resolve_relationships(st.raw_relationships(found), found))
 
 
@@ -280,8 +281,7 @@ def article_chunk_edges(spark, sf):
 
 @register("chunk_entity_edges", sql("SELECT chunk_id AS src, entity_id AS dst, 'MENTIONS_ENTITY' AS type FROM link", "link"))
 def chunk_entity_edges(spark, sf):
-    return gr.chunk_entity_edges(ch.with_entity_ids(chunks(spark, sf), links(spark, sf)).select(
-        "chunk_id", F.explode("entity_ids").alias("entity_id")))
+    return gr.chunk_entity_edges(chunks_with_entities(spark, sf).select("chunk_id", F.explode_outer("entity_ids").alias("entity_id")).dropna())
 
 
 # ---- loading rules and quality -------------------------------------------------------------------
@@ -310,8 +310,9 @@ SELECT src, dst, type, arg_max(confidence, (chapter_number, article_number, posi
   SELECT source_entity_id AS src, target_entity_id AS dst, relationship_type AS type, length(source_text)::DOUBLE AS confidence, chapter_number, article_number, position
   FROM rel WHERE source_entity_id IN (SELECT entity_id FROM entity) AND target_entity_id IN (SELECT entity_id FROM entity)) GROUP BY 1, 2, 3""", "rel", "entity"))
 def upsert_edges(spark, sf):
-    ids = gr.endpoints([(entities(spark, sf), "entity_id")])
-    rels = relationships(spark, sf).select(
+    found = written(st.mentions(spark, sf))
+    ids = gr.endpoints([(mn.merge_entities(found), "entity_id")])
+    rels = rl.resolve_relationships(st.raw_relationships(found), found).select(
         F.col("source_entity_id").alias("src"), F.col("target_entity_id").alias("dst"), F.col("relationship_type").alias("type"),
         F.length("source_text").cast("double").alias("confidence"), "chapter_number", "article_number", "position")
     return gr.upsert_edges(rels, ids, ids, ["chapter_number", "article_number", "position"]).select("src", "dst", "type", "confidence")
@@ -322,8 +323,9 @@ SELECT relationship_id, CASE WHEN s IS NULL AND d IS NULL THEN 'both' WHEN s IS
   SELECT relationship_id, (SELECT max(1) FROM entity e WHERE e.entity_id = r.source_entity_id) AS s,
     (SELECT max(1) FROM entity e WHERE e.entity_id = r.target_entity_id) AS d FROM relation r) WHERE s IS NULL OR d IS NULL""", "relation", "entity"))
 def dangling_edges(spark, sf):
-    ids = gr.endpoints([(entities(spark, sf), "entity_id")])
-    rels = rl.collect_relationships(relationships(spark, sf)).select(
+    found = written(st.mentions(spark, sf))
+    ids = gr.endpoints([(mn.merge_entities(found), "entity_id")])
+    rels = rl.collect_relationships(rl.resolve_relationships(st.raw_relationships(found), found)).select(
         "relationship_id", F.col("source_entity_id").alias("src"), F.col("target_entity_id").alias("dst"))
     return gr.dangling_edges(rels, ids, ids).select("relationship_id", "missing")
 
@@ -366,7 +368,7 @@ UNION ALL SELECT 'MENTIONS_ENTITY', count(*), count(DISTINCT (chunk_id, entity_i
 UNION ALL SELECT 'GlossaryTerm', count(*), count(DISTINCT term) FROM term
 UNION ALL SELECT 'Article', count(*), count(*) FROM doc""", "mention", "link", "term", "doc"))
 def load_counts(spark, sf):
-    found = st.mentions(spark, sf)
+    found = written(st.mentions(spark, sf))
     return gr.load_counts({
         "MENTIONS": (gr.mentions_edges(found), ["src", "dst"]),
         "MENTIONS_ENTITY": (gr.chunk_entity_edges(mn.link_mentions(chunks(spark, sf), found)), ["src", "dst"]),
@@ -378,7 +380,7 @@ SELECT 'Article' AS part, count(*) AS n FROM doc UNION ALL SELECT 'Entity', coun
 UNION ALL SELECT 'CONTAINS', count(*) FROM doc JOIN chap USING (chapter_number)
 UNION ALL SELECT 'MENTIONS', count(DISTINCT (article_id, entity_id)) FROM mention""", "doc", "entity", "chap", "mention"))
 def build_graph(spark, sf):
-    found, arts = st.mentions(spark, sf), st.articles(spark, sf)
+    found, arts = written(st.mentions(spark, sf)), st.articles(spark, sf)
     at = ["chapter_number", "article_number", "position"]
     edges = gr.mentions_edges(found.withColumn("x", F.lit(1))).join(
         found.select(F.col("article_id").alias("src"), F.col("entity_id").alias("dst"), *at), ["src", "dst"])

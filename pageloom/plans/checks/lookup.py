@@ -11,6 +11,7 @@ from pageloom.plans import standins as st
 from pageloom.plans.checks import register
 from pageloom.plans.checks.ctes import sql
 from pageloom.plans.checks.text import chunks, ints
+from pageloom.session import written
 
 DIMS = 64
 
@@ -83,8 +84,10 @@ def cosine_top_k_grid(spark, sf):
 SELECT query_id, chunk_id, count(*) AS shared_entities FROM (SELECT DISTINCT query_id, entity_id FROM best JOIN link USING (chunk_id) WHERE rank = 1)
 JOIN (SELECT DISTINCT chunk_id, entity_id FROM link) USING (entity_id) GROUP BY 1, 2""", "chunk", "link"))
 def hybrid_lookup(spark, sf):
-    links = link_mentions(chunks(spark, sf), st.mentions(spark, sf))
-    return ve.hybrid_lookup(questions(spark, sf), embedded(spark, sf).select("chunk_id", "embedding"), links, k=1)
+    df = written(chunks(spark, sf))
+    links = written(link_mentions(df, st.mentions(spark, sf)))
+    vectors = ve.embed_chunks(df, DIMS).select("chunk_id", "embedding")
+    return ve.hybrid_lookup(questions(spark, sf), vectors, links, k=1)
 
 
 @register("attach_vectors", sql("""

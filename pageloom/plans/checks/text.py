@@ -62,12 +62,12 @@ def token_windows_bpe(spark, sf):
 
 
 @register("entity_ids", r"""
-SELECT doc_id, 'concept-' || substr(md5(trim(lower(left(text, 40)))), 1, 8) AS entity_id,
+SELECT doc_id, 'concept-' || substr(md5(regexp_replace(lower(left(text, 40)), '^\s+|\s+$', '', 'g')), 1, 8) AS entity_id,
   'rel-' || substr(md5(lang || '-USED_BY-' || source), 1, 12) AS relationship_id FROM documents""")
 def entity_ids(spark, sf):
     df = st.table(spark, sf, "documents")
     return df.select(
-        "doc_id", tx.entity_id(F.lit("concept"), F.trim(tx.cap(F.col("text"), 40))).alias("entity_id"),
+        "doc_id", tx.entity_id(F.lit("concept"), tx.cap(F.col("text"), 40)).alias("entity_id"),
         tx.relationship_id(F.col("lang"), F.lit("USED_BY"), F.col("source")).alias("relationship_id"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
     return named or tempfile.mkdtemp(prefix="pageloom-")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """A table that several later steps read: written once to the shared folder and read back, so the
+    steps neither recompute it nor depend on any executor keeping it."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/pageloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give heavy per-row work one partition per core when the scan has fewer splits than cores.
 
