@@ -14,7 +14,7 @@ from pageloom.operators.chunks import SUMMARY
 
 #: Lossless split into letter runs and what lies between them.
 PIECE = r"\p{L}+|[^\p{L}]+"
-BLOCK = 256
+BLOCK = 48
 
 
 def _running(start: Column, items: Column, size: Callable[[Column], Column]) -> Column:
@@ -39,8 +39,10 @@ def words_with_offsets(df: DataFrame, text: str, lookahead: int = 0) -> DataFram
     ))
     df = df.select(*carried, blocks.alias("_b"))
     df = df.withColumn("_at", _running(F.lit(0), F.col("_b"), lambda b: F.length(F.array_join(b["own"], ""))))
-    df = df.select(*carried, F.posexplode_outer("_b").alias("_i", "_blk"), F.col("_at"))
-    df = df.select(*carried, F.col("_blk.own").alias("_own"), F.col("_blk.next").alias("_next"), F.get("_at", F.col("_i")).alias("_base"))
+    placed = once(F.col("_at"), lambda at: F.transform(
+        "_b", lambda b, i: F.struct(b["own"].alias("_own"), b["next"].alias("_next"), F.get(at, i).alias("_base"))
+    ))
+    df = df.select(*carried, F.inline_outer(placed))
     df = df.withColumn("_starts", _running(F.col("_base"), F.col("_own"), F.length))
 
     def read(starts, pieces):
