@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,18 +32,49 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    Only a local master may go without one; it then gets a folder of its own, removed at exit. On a
+    cluster a missing setting is an error, since a local folder there differs from machine to machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="pageloom-")
+    if named:
+        return named.rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="pageloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table when the process ends, through Spark's own view of the file system."""
+    if urlparse(path).scheme in ("", "file"):
+        shutil.rmtree(urlparse(path).path, ignore_errors=True)
+        return
+    try:
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # noqa: BLE001  the session has ended already; the folder's owner clears it
+        pass
+
+
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder, removed when the process ends."""
+    path = f"{shared_dir(spark)}/pageloom-{tag}-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, path)
+    return path
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, tag: str = "table") -> DataFrame:
     """A table that several later steps read: written once to the shared folder and read back, so the
     steps neither recompute it nor depend on any executor keeping it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/pageloom-{uuid.uuid4().hex}"
+    path = shared_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
