@@ -4,8 +4,9 @@ A window is 20 consecutive words. Hashing every window would shuffle every word
 are found in two steps. (1) Only 8-word anchors at places p with p modulo 13 in {0, 1, 3, 9} are hashed:
 these residues have every difference modulo 13, so for any two places i and j there is a shift below 13
 that takes both to such residues. As 8 + 13 - 1 <= 20, two equal windows share an anchor at one common
-shift. (2) Anchors that occur twice are extended: the windows around them are compared whole, by 128 bits,
-and each window that also starts earlier is removed.
+shift. (2) Anchors that occur twice are extended: the windows around them are compared whole, by 96 bits,
+and each window that also starts earlier is removed. 48 bits of an anchor are shuffled: a clash there
+only adds windows to compare.
 
 Documents whose whole text occurs in a document with a smaller id need neither step.
 """
@@ -40,7 +41,7 @@ def _spread_key(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(id, text)`` to ``(key, id, place, known)``.
+    """``(id, text)`` to ``(key, id, place)``; the lowest bit of ``place`` tells that the anchor is known.
 
     An anchor that repeats within the run of rows at hand is known to repeat: one row of it is sent to
     find its equals elsewhere, the others are spread by a key of their own. So a passage that a third of
@@ -67,39 +68,38 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = np.asarray(part.column(0).cast(pa.int64()))[rows]
             keys[repeat] = _spread_key(ids[repeat], at[repeat])
             yield pa.RecordBatch.from_arrays(
-                [_long(keys), pa.array(ids), pa.array(at.astype(np.int32)), pa.array(known)], ["key", "id", "place", "known"])
+                [_long(keys >> np.uint64(16)), pa.array(ids), pa.array((at << 1 | known).astype(np.int32))], ["key", "id", "place"])
 
 
 def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key, those whose key occurs twice or that are known to repeat: ``(id, place)``.
 
     A run of equal keys may span batches; the last row of a batch waits for the next one."""
-    held: pa.RecordBatch | None = None
+    held = np.zeros((0, 3), np.int64)
     linked = False
 
-    def keep(batch: pa.RecordBatch, mask: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2)], ["id", "place"]).filter(pa.array(mask))
+    def keep(rows: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
+        rows = rows[mask | (rows[:, 2] & 1 > 0)]
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, 1]), pa.array((rows[:, 2] >> 1).astype(np.int32))], ["id", "place"])
 
     for batch in batches:
-        if not len(batch):
+        rows = np.concatenate([held, np.stack([np.asarray(batch.column(i), np.int64) for i in range(3)], 1)])
+        if not len(rows):
             continue
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        keys = np.asarray(batch.column(0))
-        same = keys[1:] == keys[:-1]
-        mask = np.asarray(batch.column(3)).copy()
+        same = rows[1:, 0] == rows[:-1, 0]
+        mask = np.zeros(len(rows), bool)
         mask[1:] |= same
         mask[:-1] |= same
         mask[0] |= linked
-        yield keep(batch.slice(0, len(batch) - 1), mask[:-1])
-        linked = bool(same[-1]) if len(same) else linked
-        held = batch.slice(len(batch) - 1)
-    if held is not None:
-        yield keep(held, np.asarray(held.column(3)) | linked)
+        yield keep(rows[:-1], mask[:-1])
+        linked = bool(mask[-1])
+        held = rows[-1:]
+    yield keep(held, np.full(len(held), linked))
 
 
 def find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(id, text, anchor places)`` to ``(low, high, id, start, known)``: the windows that hold an anchor.
+    """``(id, text, anchor places)`` to ``(low, high, id, place)``: the windows that hold an anchor, by 64
+    and 32 bits; the lowest bit of ``place`` tells that the window is known to be removed.
 
     Of equal windows within the run of rows at hand only the earliest is sent to meet its equals
     elsewhere; the others are known to be removed and are spread."""
@@ -128,18 +128,19 @@ def find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row_of, place = places(counts)
             ids = np.asarray(part.column(0).cast(pa.int64()))[row_of[at]]
             start = place[at]
-            low, high = low[at], windows(hashes, WINDOW, seed=1)[at]
+            low, high = low[at], windows(hashes, WINDOW, seed=1)[at] >> np.uint64(32)
             order = np.lexsort((start, ids, high, low))
             equal = (low[order][1:] == low[order][:-1]) & (high[order][1:] == high[order][:-1])
             later = np.zeros(len(order), bool)  # a repeated row is no earlier place than itself
             later[1:] = equal & ((ids[order][1:] != ids[order][:-1]) | (start[order][1:] != start[order][:-1]))
             known = np.zeros(len(at), bool)
             known[order] = _run_any(later, np.concatenate([[False], equal]))
-            key = low.copy()
-            key[known] = _spread_key(ids[known], start[known])
+            # a known row needs no equals: it carries the bits that mark it in place of the second hash
+            high[known] = low[known] >> np.uint64(32)
+            low[known] = _spread_key(ids[known], start[known])
             yield pa.RecordBatch.from_arrays(
-                [_long(key), _long(high), pa.array(ids), pa.array(start.astype(np.int32)), pa.array((low >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(known)],
-                ["low", "high", "id", "start", "check", "known"])
+                [_long(low), pa.array(high.astype(np.uint32).view(np.int32)), pa.array(ids), pa.array((start << 1 | known).astype(np.int32))],
+                ["low", "high", "id", "place"])
 
 
 def _run_any(later: np.ndarray, joined: np.ndarray) -> np.ndarray:
@@ -151,14 +152,15 @@ def _run_any(later: np.ndarray, joined: np.ndarray) -> np.ndarray:
 
 
 def later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by window, id and start, those that an earlier place precedes: ``(id, mark)``.
+    """Of rows sorted by window, id and place, those that an earlier place precedes: ``(id, mark)``.
 
     ``mark`` holds the start and 32 bits of the window, so that rows which share an id are told apart."""
     last: tuple[int, int, int, int, bool] | None = None
     for batch in batches:
         if not len(batch):
             continue
-        low, high, ids, start, check, known = (np.asarray(batch.column(i)) for i in range(6))
+        low, high, ids, place = (np.asarray(batch.column(i)) for i in range(4))
+        start, known = place >> 1, (place & 1).astype(bool)
         equal = np.zeros(len(low), bool)
         equal[1:] = (low[1:] == low[:-1]) & (high[1:] == high[:-1])
         moved = np.ones(len(low), bool)
@@ -176,7 +178,8 @@ def later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             removed[: len(begun) if equal.all() else int(np.argmin(equal))] = True
         last = (low[-1], high[-1], ids[-1], start[-1], bool(removed[-1]))
         take = removed | known
-        mark = start[take].astype(np.int64) << 32 | check[take].view(np.uint32).astype(np.int64)
+        check = np.where(known, high.view(np.uint32), (low.view(np.uint64) >> np.uint64(32)).astype(np.uint32))
+        mark = start[take].astype(np.int64) << 32 | check[take].astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(ids[take]), pa.array(mark)], ["id", "mark"])
 
 
@@ -235,24 +238,28 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     each anchor; one row for each window around a repeated anchor. Both row streams are sorted and read
     as streams, so no group of equals is held in memory."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    prints = rows.where("id is not null and text is not null").select("id", F.md5("text").alias("print"))
+    # the three passes start from the same rows, so that Spark shuffles the texts once
+    full = rows.where("id is not null and text is not null")
+    prints = full.select("id", F.md5("text").alias("print"))
     firsts = prints.groupBy("print").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = prints.join(firsts, "print").where("id > first").groupBy("id").agg(F.collect_set("print").alias("copies"))
     known = F.coalesce(F.array_contains("copies", F.md5("text")), F.lit(False))
-    told = rows.join(copies.hint("shuffle_hash"), "id", "left")
-    fresh = told.where(~known & F.col("id").isNotNull() & F.col("text").isNotNull()).select("id", "text")
+    told = full.join(copies.hint("shuffle_hash"), "id", "left")
+    fresh = told.where(~known).select("id", "text")
 
-    anchors = fresh.mapInArrow(find_anchors, "key long, id long, place int, known boolean")
+    anchors = fresh.mapInArrow(find_anchors, "key long, id long, place int")
     again = anchors.repartition("key").sortWithinPartitions("key").mapInArrow(repeated, "id long, place int")
     spots = again.groupBy("id").agg(F.collect_list("place").alias("spots"))
 
     seen = fresh.join(spots.hint("shuffle_hash"), "id").select("id", "text", "spots")
-    found = seen.mapInArrow(find_windows, "low long, high long, id long, start int, check int, known boolean")
-    later = found.repartition("low").sortWithinPartitions("low", "high", "id", "start").mapInArrow(later_windows, "id long, mark long")
+    found = seen.mapInArrow(find_windows, "low long, high int, id long, place int")
+    later = found.repartition("low").sortWithinPartitions("low", "high", "id", "place").mapInArrow(later_windows, "id long, mark long")
     marks = later.groupBy("id").agg(F.collect_list("mark").alias("marks"))
 
-    whole = told.withColumn("copy", known).join(marks.hint("shuffle_hash"), "id", "left").select("id", "text", "copy", "marks")
-    return whole.mapInArrow(cut, "id long, text string, n_words long, n_removed long, kept string")
+    judged = told.withColumn("copy", known).join(marks.hint("shuffle_hash"), "id", "left").select("id", "text", "copy", "marks")
+    others = rows.where("id is null or text is null").select("id", "text", F.lit(False).alias("copy"), F.lit(None).cast("array<long>").alias("marks"))
+    result = "id long, text string, n_words long, n_removed long, kept string"
+    return judged.mapInArrow(cut, result).union(others.mapInArrow(cut, result))
 
 
 def brute_force(rows: list[tuple[int, str | None]]) -> list[tuple[int, int, int, str]]:
