@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, jaccard, packing, substrings, topk, urls, warc
+from pageloom.llm import bpe, jaccard, leaks, packing, substrings, topk, urls, warc
 from pageloom.llm.common import table
 from pageloom.session import shared_path
 
@@ -52,6 +52,11 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=1024, end_id=2)
