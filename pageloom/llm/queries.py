@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, jaccard, leaks, packing, substrings, topk, urls, warc
+from pageloom.llm import bpe, jaccard, leaks, packing, quotes, substrings, topk, toxicity, urls, warc
 from pageloom.llm.common import table
 from pageloom.session import shared_path
 
@@ -23,12 +23,57 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.unquote(quotes.quoting(table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op1_quotation_linking"] = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+         CASE WHEN trim(coalesce(text, ''), E' \n') <> '' THEN trim(regexp_replace(lower(text), '\s+', ' ', 'g')) END AS said
+  FROM conversations),
+firsts AS (SELECT conv_id, said, min(turn) AS origin FROM t WHERE said IS NOT NULL GROUP BY conv_id, said),
+told AS (
+  SELECT t.conv_id, t.turn, t.text, CASE WHEN f1.origin < t.turn THEN f1.origin END AS o1, CASE WHEN f2.origin < t.turn THEN f2.origin END AS o2,
+         (a.said IS NOT NULL)::INT AS q1, (b.said IS NOT NULL)::INT AS q2
+  FROM t LEFT JOIN t a ON a.conv_id = t.conv_id AND a.turn = t.turn - 1 LEFT JOIN t b ON b.conv_id = t.conv_id AND b.turn = t.turn - 2
+         LEFT JOIN firsts f1 ON f1.conv_id = a.conv_id AND f1.said = a.said LEFT JOIN firsts f2 ON f2.conv_id = b.conv_id AND f2.said = b.said),
+linked AS (
+  SELECT conv_id, turn, text, coalesce(o1, o2) AS parent_turn, q1 + q2 AS n_quotes,
+         (o1 IS NOT NULL)::INT + (o2 IS NOT NULL)::INT AS n_linked
+  FROM told),
+chain AS (
+  SELECT conv_id, turn, turn AS thread, 0 AS depth FROM linked WHERE parent_turn IS NULL
+  UNION ALL
+  SELECT l.conv_id, l.turn, c.thread, c.depth + 1 FROM linked l JOIN chain c ON l.conv_id = c.conv_id AND l.parent_turn = c.turn)
+SELECT conv_id, turn, parent_turn, thread, depth, n_quotes, n_linked, trim(text, E' \n') AS own_text
+FROM linked JOIN chain USING (conv_id, turn)
+"""
+
+
 @query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op2_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS s FROM w WHERE len(words) >= 20),
+wins AS (SELECT doc_id, s, array_to_string(words[s : s + 19], ' ') AS win FROM places),
+firsts AS (SELECT win, min({'d': doc_id, 's': s}) AS f FROM wins GROUP BY win HAVING count(*) > 1),
+later AS (SELECT doc_id, s FROM wins JOIN firsts USING (win) WHERE f < {'d': doc_id, 's': s}),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS p FROM later),
+every AS (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS p FROM w),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM every ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=1024)
@@ -69,6 +114,25 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+ORACLES["op8_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+places AS (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS s FROM w WHERE len(words) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[s : s + 4], ' ') AS shingle FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY x, y),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * common >= 75 * (p.n + q.n - common)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(min(y), w.doc_id)) AS component_id
+FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.x = w.doc_id GROUP BY w.doc_id, n
+"""
+
+
 #: The rules that op6 judges by.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -96,6 +160,15 @@ FROM parts LEFT JOIN (SELECT * FROM hits WHERE rank = 1) h USING (n)
 """
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = toxicity.train_on(docs, labels.where(~held_out), most=1000)
+    scored = toxicity.score_texts(docs, model).select("row.doc_id", "score")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
