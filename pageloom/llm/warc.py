@@ -67,8 +67,9 @@ def record_text(rows: DataFrame) -> DataFrame:
 
 
 def write_warc(rows: DataFrame, path: str, records_per_file: int = 2000) -> None:
-    """Archives of up to ``records_per_file`` records under ``path``; a record never crosses files."""
-    record_text(rows).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).text(path)
+    """Gzip archives of up to ``records_per_file`` records under ``path``; a record never crosses files."""
+    options = {"lineSep": END, "maxRecordsPerFile": str(records_per_file), "compression": "gzip"}
+    record_text(rows).write.options(**options).text(path)
 
 
 @dataclass
@@ -126,9 +127,30 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
             "payload": block, "payload_bytes": size, "payload_digest": digest}, end + 4
 
 
-def _members(data: bytes, out: Salvage) -> Iterator[tuple[int, int, bytes]]:
-    """Gzip members with their places. After a bad one the search goes on at the next member header."""
-    at = 0
+def _unzipped(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` gives, the place after it, and the failed check, if any."""
+    unzip, out = zlib.decompressobj(31), []
+    step, at, before = 1 << 16, at, None
+    while at < len(data):
+        if step > 1:
+            before = unzip.copy()
+        try:
+            out.append(unzip.decompress(data[at : at + step]))
+        except zlib.error as e:
+            if step == 1:
+                return b"".join(out), len(data), f"bad gzip member: {e}"
+            unzip, step = before, 1  # byte by byte up to the fault
+            continue
+        at = min(at + step, len(data))
+        if unzip.eof:
+            return b"".join(out), at - len(unzip.unused_data), ""
+    return b"".join(out), len(data), "bad gzip member: cut off"
+
+
+def _salvage_members(data: bytes) -> Salvage:
+    """Gzip members with one record or many. What a bad member gave before its fault is used; the search goes
+    on at the next member header. Gaps are whole members or what lies between them."""
+    out, at = Salvage(), 0
     while at < len(data):
         found = data.find(GZIP, at)
         if found != at:
@@ -136,38 +158,26 @@ def _members(data: bytes, out: Salvage) -> Iterator[tuple[int, int, bytes]]:
             out.gap(at, found, "no gzip header")
             at = found
             continue
-        unzip = zlib.decompressobj(31)
-        try:
-            text = unzip.decompress(data[at:])
-            if not unzip.eof:
-                raise zlib.error("cut off")
-        except zlib.error as e:
+        text, end, fault = _unzipped(data, at)
+        if fault:
             later = data.find(GZIP, at + 1)
-            later = len(data) if later < 0 else later
-            out.gap(at, later, f"bad gzip member: {e}")
-            at = later
-            continue
-        end = len(data) - len(unzip.unused_data)
-        yield at, end, text
+            end = len(data) if later < 0 else later
+        inner = salvage_plain(text)
+        out.records += [r | {"offset": at} for r in inner.records]
+        if fault or inner.gaps:
+            out.gap(at, end, fault or inner.gaps[0][2])
         at = end
+    return out
 
 
 def salvage(data: bytes) -> Salvage:
-    """All valid records of one archive, and its quarantined gaps in bytes of the archive.
-
-    A gap inside a gzip member is logged as the member's whole range."""
-    out = Salvage()
-    if data[:3] == GZIP or (not VERSION_LINE.match(data) and GZIP in data and not VERSION_LINE.search(data)):
-        for start, end, text in _members(data, out):
-            inner = salvage_plain(text)
-            out.records += [r | {"offset": start} for r in inner.records]
-            for _, _, reason in inner.gaps[:1]:
-                out.gap(start, end, reason)
-        return out
-    return salvage_plain(data)
+    """All valid records of one archive, and its quarantined gaps in bytes of the archive."""
+    zipped = data[:3] == GZIP or (GZIP in data and not VERSION_LINE.search(data))
+    return _salvage_members(data) if zipped else salvage_plain(data)
 
 
 def salvage_plain(data: bytes) -> Salvage:
+    """The same for an archive that is not compressed. After a failed check the next version line is tried."""
     out, at = Salvage(), 0
     while at < len(data):
         try:

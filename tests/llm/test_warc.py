@@ -72,13 +72,20 @@ def test_salvage_of_damaged_gzip_archives(parts):
     assert len(salvage(b"".join(zipped)).records) == 6
     spoiled = bytearray(zipped[1])
     spoiled[len(spoiled) // 2] ^= 0xFF
-    broken = zipped[0] + bytes(spoiled) + zipped[2] + b"\x00\x00junk" + zipped[3] + gzip.compress(b"no record") + zipped[4] + zipped[5][:-9]
+    broken = zipped[0] + bytes(spoiled) + zipped[2] + b"\x00\x00junk" + zipped[3] + gzip.compress(b"no record") + zipped[4] + zipped[5][:-60]
     got = salvage(broken)
     assert [r["url"] for r in got.records] == ["u0", "u2", "u3", "u4"]
     lost = len(broken) - sum(len(zipped[k]) for k in (0, 2, 3, 4))
     assert sum(y - x for x, y, _ in got.gaps) == lost
 
 
+def test_records_before_a_fault_are_kept(parts):
+    zipped = gzip.compress(b"".join(parts[:3]))
+    got = salvage(zipped[:-12] + gzip.compress(parts[4]))
+    assert [r["url"] for r in got.records][:2] == ["u0", "u1"] and got.records[-1]["url"] == "u4"
+    assert got.gaps == [(0, len(zipped) - 12, got.gaps[0][2])] and "gzip" in got.gaps[0][2]
+
+
 def test_gaps_become_rows(spark, parts, tmp_path):
     (tmp_path / "a.warc").write_bytes(parts[0] + b"???" + parts[1])
     rows = read_warc(spark, str(tmp_path)).orderBy("offset").collect()
