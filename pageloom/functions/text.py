@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 NON_SPACE = r"(?U)\S+"
 SPACES = r"(?U)\s+"
 EDGE_SPACES = r"(?U)^\s+|\s+\z"
+# Fixed value: characters that a text may not hold.
 CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 
 # The closed sets of entity and relationship types.

@@ -47,10 +47,14 @@ class _NodeLister(HTMLParser):
         self.rows: list[list] = []
         self.open: list[int] = []
         self.seen: set[str] = set()
+        self.text_goes_on = False
 
     def list_nodes(self, html: str) -> list[list]:
         self.feed(html)
         self.close()
+        if "body" not in self.seen:
+            self._place("body")
+            self._push("body", {})
         while self.open:
             self._pop()
         return self.rows
@@ -59,9 +63,11 @@ class _NodeLister(HTMLParser):
         return self.rows[self.open[depth]][3]
 
     def _pop(self) -> None:
+        self.text_goes_on = False
         self.rows[self.open.pop()][1] = len(self.rows) - 1
 
     def _add(self, tag: str, attrs: dict, text: str | None) -> None:
+        self.text_goes_on = False
         here, parent = len(self.rows), self.open[-1] if self.open else -1
         path = (self.rows[parent][4] if self.open else "") + "/" + tag
         self.rows.append([here, here, parent, tag, path, attrs, text])
@@ -118,11 +124,22 @@ class _NodeLister(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        """The reader gives a text in several pieces, for instance around a single ``<`` or an end tag that
+        closes nothing; until a node begins or ends or a comment comes, they are one text."""
+        if self.text_goes_on:
+            self.rows[-1][6] += data
+            return
         if not self.open or self._tag() in ("html", "head"):
             if not data.strip():
                 return
             self._place(TEXT)
         self._add(TEXT, {}, data)
+        self.text_goes_on = True
+
+    def handle_comment(self, data: str) -> None:
+        self.text_goes_on = False
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
 
 
 def _node_arrays(batches: Iterator[pa.RecordBatch], html: str, flush_at: int = 200_000) -> Iterator[pa.RecordBatch]:

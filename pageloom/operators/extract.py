@@ -393,6 +393,7 @@ def sections() -> str:
     return bind("links", lambda ls: bind(shown, lambda hs: read(hs, ls)))
 
 
+# What counts as a concept.
 TITLE_PHRASE = r"(?U)\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\b"
 DEFINITION = r"(?U)^([A-Z][a-zA-Z\s]+?)\s+(?:is|are|refers?\s+to|means?)\s+"
 _STOP = ", ".join(q(w) for w in rules.STOP_WORDS)

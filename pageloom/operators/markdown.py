@@ -187,6 +187,7 @@ def root_markdown() -> str:
     return strip(sub(f"array_join({texts}, {q('\n\n')})", r"\n{3,}", "\n\n"))
 
 
+# How promotional passages of a text are known.
 PROMO_START = r"(?i)^#{1,4}\s*(Ready to Find Out More|Book a Demo)"
 ANY_HEADING = r"(?U)^#{1,4}\s+"
 PROMO_WORD = r"(?i)(demo|trial|contact|pricing)"

@@ -35,12 +35,14 @@ HIDDEN_STYLE = r"(?i)display:\s*none"
 CONTAINERS = ["div", "section", "article", "main", "aside"]
 
 # Words that are no concept on their own.
-STOP_WORDS = (
-    "the a an and or but in on at to for of is are was were be been being have has had do does did will would "
-    "could should may might must shall can need dare ought used how what why when where who which whom whose "
-    "that this these those it its you your we our they their i my me he she him her his with from by about "
-    "into through during before after above below between under again further then once"
-).split()
+STOP_WORDS = [
+    "the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "is", "are", "was", "were", "be",
+    "been", "being", "have", "has", "had", "do", "does", "did", "will", "would", "could", "should", "may", "might",
+    "must", "shall", "can", "need", "dare", "ought", "used", "how", "what", "why", "when", "where", "who", "which",
+    "whom", "whose", "that", "this", "these", "those", "it", "its", "you", "your", "we", "our", "they", "their", "i",
+    "my", "me", "he", "she", "him", "her", "his", "with", "from", "by", "about", "into", "through", "during",
+    "before", "after", "above", "below", "between", "under", "again", "further", "then", "once",
+]
 
 MIN_CONCEPT, MAX_CONCEPT, MAX_CONCEPTS = 2, 50, 20
 

@@ -84,31 +84,41 @@ def _matrix(vectors) -> np.ndarray:
     return m / np.where(norms == 0, 1.0, norms)
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> pd.DataFrame:
-    """Top k per query within one batch: similarity (6 digits) down, id up."""
-    order = np.argsort(ids, kind="stable")
-    sims = np.round(queries @ vectors[order].T, 6) + 0.0
-    top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-    n = top.shape[1]
-    return pd.DataFrame({
-        "query_id": np.repeat(query_ids, n), "id": ids[order][top].ravel(),
-        "similarity": np.take_along_axis(sims, top, axis=1).ravel(),
-    })
-
-
-def cosine_top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, max_broadcast: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, digits: int | None) -> pd.DataFrame:
+    """Top k per query within one batch: similarity down, id up. Each row is cut at its k-th value first."""
+    sims = queries @ vectors.T
+    if digits is not None:
+        sims = np.round(sims, digits) + 0.0
+    found = []
+    for row in sims:
+        places = np.arange(len(row))
+        if len(row) > k:
+            places = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
+        found.append(places[np.lexsort((ids[places], -row[places]))[:k]])
+    n = [len(f) for f in found]
+    rows, places = np.repeat(np.arange(len(found)), n), np.concatenate(found)
+    return pd.DataFrame({"query_id": query_ids[rows], "id": ids[places], "similarity": sims[rows, places]})
+
+
+def cosine_top_k(
+    queries: DataFrame, vectors: DataFrame, k: int = 10, max_broadcast: int = MAX_BROADCAST_QUERIES, digits: int | None = None
+) -> DataFrame:
     """``queries(query_id, embedding)`` against ``vectors(id, embedding)``: exact top ``k`` per query.
 
+    Null vectors on either side take no part. Ranks follow the full precision unless ``digits`` says to
+    round similarities first, which makes ties of near values a matter of the id.
+
     Each batch of vectors is multiplied with the query matrix and sends on its own top k only, so the
     shuffle carries at most k rows per query and batch. Query sets above ``max_broadcast`` go to
     ``_grid_top_k``, which holds bounded blocks of both sides per task."""
+    queries = queries.filter("embedding is not null")
     few = queries.select("query_id", "embedding").limit(max_broadcast + 1).toPandas()
     ddl = (
         f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
         f"id {vectors.schema['id'].dataType.simpleString()}, similarity double"
     )
     if len(few) > max_broadcast:
-        found = _grid_top_k(queries, vectors, k, ddl)
+        found = _grid_top_k(queries, vectors, k, ddl, digits)
     elif len(few) == 0:
         return queries.sparkSession.createDataFrame([], ddl + ", rank int")
     else:
@@ -118,14 +128,14 @@ def cosine_top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, max_broadc
             query_ids, matrix = shared.value
             for pdf in batches:
                 if len(pdf):
-                    yield _best(query_ids, matrix, pdf["id"].to_numpy(), _matrix(pdf["embedding"]), k)
+                    yield _best(query_ids, matrix, pdf["id"].to_numpy(), _matrix(pdf["embedding"]), k, digits)
 
         found = vectors.select("id", "embedding").filter("embedding is not null").mapInPandas(scan, ddl)
     ranked = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "id")
     return found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
 
 
-def _grid_top_k(queries: DataFrame, vectors: DataFrame, k: int, ddl: str) -> DataFrame:
+def _grid_top_k(queries: DataFrame, vectors: DataFrame, k: int, ddl: str, digits: int | None) -> DataFrame:
     """Blocks of queries meet blocks of vectors, one bounded pair per group."""
     rows = max(1, -(-queries.count() // GRID_QUERIES))
     columns = max(1, -(-vectors.count() // GRID_VECTORS))
@@ -139,16 +149,16 @@ def _grid_top_k(queries: DataFrame, vectors: DataFrame, k: int, ddl: str) -> Dat
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "id": [], "similarity": []})
         return _best(
-            left["query_id"].to_numpy(), _matrix(left["embedding"]), right["id"].to_numpy(), _matrix(right["embedding"]), k
+            left["query_id"].to_numpy(), _matrix(left["embedding"]), right["id"].to_numpy(), _matrix(right["embedding"]), k, digits
         )
 
     return q.groupBy("_r", "_c").cogroup(v.groupBy("_r", "_c")).applyInPandas(cell, ddl)
 
 
-def hybrid_lookup(queries: DataFrame, vectors: DataFrame, chunk_entities: DataFrame, k: int = 10) -> DataFrame:
+def hybrid_lookup(queries: DataFrame, vectors: DataFrame, chunk_entities: DataFrame, k: int = 10, digits: int | None = None) -> DataFrame:
     """Top-k chunks per query, their entities, and every chunk of those entities:
     ``(query_id, chunk_id, shared_entities)``."""
-    hits = cosine_top_k(queries, vectors.withColumnRenamed("chunk_id", "id"), k).select(
+    hits = cosine_top_k(queries, vectors.withColumnRenamed("chunk_id", "id"), k, digits=digits).select(
         "query_id", F.col("id").alias("chunk_id")
     )
     links = chunk_entities.select("chunk_id", "entity_id").distinct()

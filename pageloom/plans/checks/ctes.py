@@ -55,8 +55,8 @@ SELECT *, length(text) AS char_count, len(regexp_extract_all(text, '\S+')) AS wo
   FROM kept k JOIN span p USING (article_id, section_index) JOIN win w USING (article_id, section_index) WHERE k.n > 200)"""),
     "gaz": ([], rf"""
 SELECT name, ({_TYPES})[length(name) % 10 + 1] AS entity_type FROM (
-  SELECT name, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS name FROM documents)
-  WHERE length(name) >= 6 GROUP BY name ORDER BY n DESC, name LIMIT 200)"""),
+  SELECT DISTINCT lower(regexp_extract(line, '^\P{{L}}*(\p{{L}}+)', 1)) AS name FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))
+WHERE length(name) >= 6"""),
     "mention": (["doc", "gaz"], r"""
 SELECT article_id, chapter_number, article_number, start_pos AS position, entity_type, name, p AS source_text, start_pos,
   start_pos + length(p) AS end_pos, entity_type || '-' || substr(md5(name), 1, 8) AS entity_id,

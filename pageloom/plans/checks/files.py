@@ -58,8 +58,8 @@ def state_records(spark, sf):
     good = F.to_json(F.struct("doc_id", "lang"))
     lines = st.table(spark, sf, "documents").select(F.when(F.col("doc_id") % 10 == 3, F.concat(F.lit("{broken "), good)).otherwise(good).alias("v"))
     lines.write.text(path)
-    raw = spark.read.schema("doc_id long, lang string, _corrupt_record string").option("mode", "PERMISSIVE").json(path)
-    return raw.filter("_corrupt_record is null").select("doc_id", "lang")
+    good, _ = rd.read_state(spark, path, "doc_id long, lang string", one_per_file=False)
+    return good.select("doc_id", "lang")
 
 
 @register("jsonl_records", sql("""

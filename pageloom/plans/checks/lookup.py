@@ -48,7 +48,7 @@ def embed_chunks(spark, sf):
 def chunk_cosine_top_k(spark, sf):
     """Best chunk for every benchmark passage, over all chunks."""
     vectors = embedded(spark, sf).select(F.col("chunk_id").alias("id"), "embedding")
-    best = ve.cosine_top_k(questions(spark, sf), vectors, k=1)
+    best = ve.cosine_top_k(questions(spark, sf), vectors, k=1, digits=6)
     return best.select("query_id", "id", F.round("similarity", 5).alias("similarity"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -70,14 +70,14 @@ def _centres(spark, sf):
 def cosine_top_k(spark, sf):
     """Ten nearest vectors to the mean of each label."""
     vectors = st.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return ints(ve.cosine_top_k(_centres(spark, sf), vectors, k=10), "rank")
+    return ints(ve.cosine_top_k(_centres(spark, sf), vectors, k=10, digits=6), "rank")
 
 
 @register("cosine_top_k_grid", _CENTRES)
 def cosine_top_k_grid(spark, sf):
     """The same through the grid that serves large query sets."""
     vectors = st.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return ints(ve.cosine_top_k(_centres(spark, sf), vectors, k=10, max_broadcast=2), "rank")
+    return ints(ve.cosine_top_k(_centres(spark, sf), vectors, k=10, max_broadcast=2, digits=6), "rank")
 
 
 @register("hybrid_lookup", _with("""
@@ -87,7 +87,7 @@ def hybrid_lookup(spark, sf):
     df = written(chunks(spark, sf))
     links = written(link_mentions(df, st.mentions(spark, sf)))
     vectors = ve.embed_chunks(df, DIMS).select("chunk_id", "embedding")
-    return ve.hybrid_lookup(questions(spark, sf), vectors, links, k=1)
+    return ve.hybrid_lookup(questions(spark, sf), vectors, links, k=1, digits=6)
 
 
 @register("attach_vectors", sql("""

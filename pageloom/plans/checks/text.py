@@ -39,11 +39,6 @@ def token_estimate(spark, sf):
     return st.documents(spark, sf).select("doc_id", tx.estimate_tokens(F.col("text")).alias("tokens"))
 
 
-@register("token_count_bpe")
-def token_count_bpe(spark, sf):
-    return st.documents(spark, sf).select("doc_id", tok.bpe_count(F.col("text")).alias("tokens"))
-
-
 @register("token_windows", r"""
 SELECT doc_id, i AS "window", array_to_string(tk[i * 448 + 1:i * 448 + 512], '') AS text, len(tk[i * 448 + 1:i * 448 + 512]) AS token_count,
   length(coalesce(array_to_string(tk[1:i * 448], ''), '')) AS "start",

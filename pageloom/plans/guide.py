@@ -54,7 +54,9 @@ def build_guide(
     if glossary_pages is not None:
         out["glossary"] = saved("glossary", extract_glossary(glossary_pages, site))
     out["chunks"] = saved("chunks", chunk_articles(out["articles"], None, params))
-    if gazetteer is not None:
+    if gazetteer is None:
+        out["chunks"] = out["chunks"].withColumns({"entity_ids": F.expr("cast(array() as array<string>)"), "entity_count": F.lit(0)})
+    else:
         out["mentions"] = saved("mentions", mn.extract_mentions(out["articles"], gazetteer))
         out["entities"] = saved("entities", mn.merge_entities(out["mentions"]))
         out["chunk_entities"] = saved("chunk_entities", mn.link_mentions(out["chunks"], out["mentions"]))
@@ -66,14 +68,18 @@ def build_guide(
         if "glossary" in out:
             out["glossary_enrichment"] = saved("glossary_enrichment", enrich_glossary(out["glossary"], out["entities"]))
     out["embeddings"] = saved("embeddings", embed_chunks(out["chunks"]))
-    tables = {"rels_contains": gr.contains_edges(out["articles"]), "rels_article_chunk": gr.article_chunk_edges(out["chunks"])}
+    chapters = with_urls(toc, site).filter("article_number = 0").select(
+        "chapter_number", F.col("chapter_title").alias("title"), F.col("url").alias("overview_url"))
+    no_summaries = out["articles"].select("article_id", F.lit("").alias("summary")).filter("false")
+    tables = {"nodes_chapters": gr.chapter_nodes(chapters), "nodes_articles": gr.article_nodes(out["articles"], no_summaries), "nodes_chunks": gr.chunk_nodes(out["chunks"]),
+              "rels_contains": gr.contains_edges(out["articles"]), "rels_article_chunk": gr.article_chunk_edges(out["chunks"])}
     if "mentions" in out:
-        tables |= {"nodes_entities": gr.entity_nodes(out["entities"]), "nodes_chunks": gr.chunk_nodes(out["chunks"]),
+        tables |= {"nodes_entities": gr.entity_nodes(out["entities"]),
                    "rels_mentions": gr.mentions_edges(out["mentions"]), "rels_chunk_entity": gr.chunk_entity_edges(out["chunk_entities"])}
-        export_chunks(out["chunks"], folder, out["embeddings"])
     if "relationships" in out:
         tables["rels_semantic"] = gr.semantic_edges(out["relationships"])
     if "glossary" in out:
         tables["nodes_glossary"] = gr.glossary_nodes(out["glossary"])
+    export_chunks(out["chunks"], folder, out["embeddings"])
     export_graph(tables, f"{folder}/graph")
     return out

@@ -1,6 +1,6 @@
 """Guide tables derived from the given tables, so that every operator runs on whole, growing input.
 
-A document is an article, its lines are sections, frequent long words are the gazetteer, benchmark
+A document is an article, its lines are sections, their long first words are the gazetteer, benchmark
 passages are the glossary, and each document also becomes a full HTML page.
 """
 
@@ -84,12 +84,12 @@ def glossary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, sf: str) -> DataFrame:
-    """The 200 most frequent words of six letters or more; the limit also proves it small enough to
-    broadcast, which Spark then does by its own estimate."""
-    words = documents(spark, sf).select(F.explode_outer(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("name"))
-    top = words.filter(F.length("name") >= 6).groupBy("name").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "name").limit(200)
+    """Every word of six letters or more that begins a line, so names grow with the documents."""
+    lines = documents(spark, sf).select(F.explode_outer(F.split("text", "\n")).alias("line"))
+    words = lines.select(F.lower(F.regexp_extract("line", r"^\P{L}*(\p{L}+)", 1)).alias("name"))
+    names = words.filter(F.length("name") >= 6).distinct()
     types = F.array(*[F.lit(t) for t in ENTITY_TYPES])
-    return top.select("name", F.get(types, F.length("name") % 10).alias("entity_type"))
+    return names.select("name", F.get(types, F.length("name") % 10).alias("entity_type"))
 
 
 def mentions(spark: SparkSession, sf: str) -> DataFrame:

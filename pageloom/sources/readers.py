@@ -45,25 +45,20 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EMBEDDING_DDL).json(path).filter(F.col("chunk_id").isNotNull())
 
 
-def read_state(spark: SparkSession, path: str, ddl: str) -> tuple[DataFrame, DataFrame]:
-    """Saved JSON records, and the ones that do not parse (to be reported, not to stop the run)."""
-    raw = spark.read.option("multiLine", True).option("mode", "PERMISSIVE").schema(ddl + ", _corrupt_record string").json(path)
+def read_state(spark: SparkSession, path: str, ddl: str, one_per_file: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Saved JSON records, and the ones that do not parse (to be reported, not to stop the run). A file
+    holds one record, or one on each line."""
+    raw = spark.read.option("multiLine", one_per_file).option("mode", "PERMISSIVE").schema(ddl + ", _corrupt_record string").json(path)
     named = raw.withColumn("_file", F.input_file_name())
     good = named.filter("_corrupt_record is null").drop("_corrupt_record", "_file")
     return good, named.filter("_corrupt_record is not null").select("_file", "_corrupt_record")
 
 
-def read_guide(spark: SparkSession, path: str) -> DataFrame:
-    """Articles of a nested guide document. Written by ``write_guide_json`` it is a folder of line files
-    that make up one document; any single nested JSON file works as well."""
-    whole = spark.read.json(path, multiLine=True)
-    chapters = whole.select(F.explode("chapters").alias("c"))
-    return chapters.select(
-        F.col("c.chapter_number").alias("chapter_number"), F.col("c.title").alias("chapter_title"),
-        F.explode("c.articles").alias("a"),
-    ).select("chapter_number", "chapter_title", *[F.col("a")[f].alias(f) for f in _article_fields(chapters)])
+def read_guide(spark: SparkSession, path: str, article: str) -> DataFrame:
+    """Articles of a guide written by ``write_guide_json``, with the fields of the schema ``article``.
 
-
-def _article_fields(chapters: DataFrame) -> list[str]:
-    article = chapters.schema["c"].dataType["articles"].dataType.elementType
-    return [f.name for f in article.fields if f.name != "chapter_number"]
+    The document is read as lines, so no task holds more than one article: article lines begin with the
+    article's id, behind a comma in all but the first of a chapter. Lines that do not parse are left out."""
+    lines = spark.read.text(path).select(F.regexp_replace("value", "^,", "").alias("line"))
+    found = lines.filter(F.col("line").startswith('{"article_id"')).select(F.from_json("line", article).alias("a"))
+    return found.filter("a is not null").select("a.*")

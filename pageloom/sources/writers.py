@@ -48,7 +48,7 @@ ARTICLE_FIELDS = [
 def jsonl_records(articles: DataFrame, chapters: DataFrame, glossary: DataFrame, guide_title: str) -> DataFrame:
     """Every article with its chapter's title, then every term; columns a kind lacks are null."""
     fields = [c for c in ARTICLE_FIELDS if c in articles.columns]
-    a = articles.join(chapters.select("chapter_number", F.col("title").alias("chapter_title")), "chapter_number")
+    a = articles.join(chapters.select("chapter_number", F.col("title").alias("chapter_title")), "chapter_number", "left")
     a = a.select(F.lit("article").alias("type"), F.lit(guide_title).alias("guide_title"), "chapter_title", *fields)
     g = glossary.select(F.lit("glossary_term").alias("type"), F.lit(guide_title).alias("guide_title"),
                         *[c for c in ("term", "acronym", "definition", "related_terms", "related_chapters") if c in glossary.columns])
@@ -83,11 +83,11 @@ def guide_json_lines(articles: DataFrame, chapters: DataFrame, glossary: DataFra
     spark = articles.sparkSession
     fields = [c for c in ARTICLE_FIELDS if c in articles.columns]
     body = F.to_json(F.struct(*fields, F.lit(None).cast("string").alias("raw_html")), {"ignoreNullFields": "false"})
-    leads = articles.groupBy("chapter_number").agg(F.min("article_number").alias("_lead"))
+    leads = articles.groupBy("chapter_number").agg(F.min(F.struct("article_number", "article_id")).alias("_lead"))
     totals = articles.groupBy("chapter_number").agg(
         F.count(F.lit(1)).alias("article_count"), F.sum("word_count").alias("total_word_count"))
     a = articles.join(leads, "chapter_number")
-    comma = F.when(F.col("article_number") == F.col("_lead"), "").otherwise(",")
+    comma = F.when(F.struct("article_number", "article_id") == F.col("_lead"), "").otherwise(",")
     first_chapter = chapters.agg(F.min("chapter_number").alias("_first"))
     c = chapters.join(totals, "chapter_number", "left").withColumn("_one", F.lit(1)).join(
         first_chapter.withColumn("_one", F.lit(1)), "_one")
@@ -236,6 +236,7 @@ def _edge(a: tuple[str, str, str, str], b: tuple[str, str, str, str], rel: Colum
     return F.concat(*parts, F.lit(f"CREATE ({a[0]})-["), rel, F.lit(f"]->({b[0]});"))
 
 
+# Constraints and indexes that the statement file declares.
 CONSTRAINTS = [("chapter_id", "c:Chapter", "c.chapter_number"), ("article_id", "a:Article", "a.article_id"),
                ("entity_id", "e:Entity", "e.entity_id"), ("glossary_term", "g:GlossaryTerm", "g.term")]
 INDEXES = [("INDEX", "entity_type_idx", "(e:Entity)", "(e.entity_type)"), ("INDEX", "entity_name_idx", "(e:Entity)", "(e.name)"),

@@ -145,6 +145,43 @@ def test_build_guide(spark, tmp_path):
     assert ids.exceptAll(out["chunk_entities"].select("chunk_id", "entity_id")).count() == 0
     lines = guide_json_lines(st.articles(spark, SF), st.chapters(spark, SF), st.glossary(spark, SF), {"title": "t"})
     write_lines(lines, str(tmp_path / "guide"))
-    text = "\n".join(p.read_text() for p in sorted((tmp_path / "guide").glob("part-*.txt")))
-    (tmp_path / "guide.json").write_text(text)
-    assert read_guide(spark, str(tmp_path / "guide.json")).count() == 200
+    article = "article_id string, title string, word_count int, markdown_content string"
+    back = read_guide(spark, str(tmp_path / "guide"), article)
+    assert back.exceptAll(st.articles(spark, SF).select("article_id", "title", F.col("word_count").cast("int"), "markdown_content")).count() == 0
+    assert back.count() == 200
+    assert {p.name for p in (tmp_path / "graph").iterdir()} >= {"nodes_chapters", "nodes_articles", "nodes_chunks", "rels_contains", "rels_mentions"}
+
+
+def test_guide_without_names(spark, tmp_path):
+    from pageloom.plans.guide import build_guide
+
+    out = build_guide(spark, st.guide_pages(spark, SF).drop("chapter_slug"), st.toc(spark, SF), str(tmp_path), st.SITE)
+    chunks = spark.read.json(str(tmp_path / "chunks"))
+    assert chunks.count() == out["chunks"].count() and spark.read.json(str(tmp_path / "embeddings")).count() == chunks.count()
+
+
+def test_null_vectors_and_full_precision(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1e-7]), (3, None)], "id int, embedding array<double>")
+    q = spark.createDataFrame([(1, [1.0, 1.0]), (2, None)], "query_id int, embedding array<double>")
+    for limit in (0, 10):
+        rows = vectors.cosine_top_k(q, v, 2, max_broadcast=limit).orderBy("rank").collect()
+        assert [(r.query_id, r.id) for r in rows] == [(1, 2), (1, 1)]
+    assert [r.id for r in vectors.cosine_top_k(q, v, 2, digits=6).orderBy("rank").collect()] == [1, 2]
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from pageloom.session import shared_dir
+
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session(spark_master="spark://host:7077"))
+    assert shared_dir(Session(spark_master="yarn", spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y"
+    local = Session(spark_master="local[2]")
+    assert shared_dir(local) == shared_dir(local)
