@@ -2,13 +2,14 @@
 
 A document is its set of distinct 5-word shingles. Documents with equal sets are one class. Classes that
 can be linked share a shingle among the first quarter of their shingles, in one order for all (frequent
-ones last), so the classes of one such shingle form a group. Within a group a signature tree is built: its
-nodes hold the OR of their members' token bitmaps and the range of their sizes. A dual traversal drops
-node pairs whose largest possible overlap is too small for the wanted similarity. What is left is compared
-exactly, on the whole texts.
+ones last), so the classes of one such shingle form a group.
 
-First every class is compared with the first of its group (a large group of near copies so becomes one
-component); then the traversal looks for links between different components only.
+Within a group a signature tree is built: its nodes hold the OR of their members' token bitmaps and the
+range of their sizes. A dual traversal drops node pairs whose largest possible overlap is too small for the
+wanted similarity. The pairs that are left join classes into clusters; a spanning forest of them is enough.
+
+The texts of a cluster then meet once. Trees over wider bitmaps offer the likeliest pairs first, each is
+compared exactly, and pairs that are joined already need no comparison.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.llm.components import connected
@@ -29,9 +30,11 @@ SHINGLE = 5
 #: Similarity from which documents are linked: intersection / union >= 3/4, so the intersection is at
 #: least 3/7 of the summed sizes.
 SIMILAR = (3, 4)
-#: Members of a tree node, and of a block of a group; larger groups are compared block by block.
+#: Members of a tree node; members in a block of a group; shingles in a block of a cluster. What is larger
+#: is compared in pairs of blocks.
 FANOUT = 8
-BLOCK = 1024
+MEMBERS = 1024
+BLOCK = 1_000_000
 #: Groups of up to so many members are known by the set of their members, so that equal ones merge.
 NAMED = 64
 
@@ -78,17 +81,14 @@ def bitmap_bits(sizes: np.ndarray) -> np.ndarray:
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(id, text)`` to ``(id, n, set_a, set_b, bitmap)``: size, 128-bit name and token bitmap of the set."""
     for batch in batches:
-        for part in slices(batch, 1, 1 << 23):
+        for part in slices(batch, 1):
             rows, grams, sizes = shingle_sets(part.column(1))
             bits = bitmap_bits(sizes)
-            ends = np.cumsum(bits)
-            marks = np.zeros(int(ends[-1]), bool)
-            marks[(ends - bits)[rows] + (grams & (bits - 1).astype(np.uint64)[rows]).astype(np.int64)] = True
-            packed = np.packbits(marks, bitorder="little")
-            offsets = np.concatenate([[0], ends // 8]).astype(np.int32)
-            bitmaps = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+            packed = np.concatenate(bitmaps(rows, grams, sizes, bits))
+            offsets = np.concatenate([[0], np.cumsum(bits) // 8]).astype(np.int32)
+            column = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes), _long(_sums(mix(grams), sizes)), _long(_sums(mix(grams ^ np.uint64(0x5BD1E995)), sizes)), bitmaps],
+                [part.column(0), pa.array(sizes), _long(_sums(mix(grams), sizes)), _long(_sums(mix(grams ^ np.uint64(0x5BD1E995)), sizes)), column],
                 ["id", "n", "set_a", "set_b", "bitmap"])
 
 
@@ -140,26 +140,22 @@ def first_shingles(frequent) -> object:
 
 
 def group_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and name to ``(grp, name, root)`` of every key that two names hold.
+    """Rows sorted by key and name to ``(grp, name)`` of every key that two names hold.
 
     A small group is called by a hash of its members, so that the many keys that the same classes share
     make one group. Of a large group, called by its key, rows are passed on as they come."""
     sent: set[int] = set()
-    key = root = None  # of a large group that goes on
+    large = None  # key of a large group that goes on
     kept = np.zeros((0, 2), np.int64)
 
-    def rows(groups: list, names: list, roots: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or [np.zeros(0, np.int64)])) for x in (groups, names, roots)], ["grp", "name", "root"])
-
     def whole(data: np.ndarray) -> pa.RecordBatch:
-        nonlocal key, root
-        out: tuple[list, list, list] = ([], [], [])
+        groups, names = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if len(data):
             begin = np.flatnonzero(np.concatenate([[True], data[1:, 0] != data[:-1, 0]]))
             size = np.diff(np.append(begin, len(data)))
             called = _sums(mix(data[:, 1].copy().view(np.uint64)), size).view(np.int64)
             for b, n, c in zip(begin.tolist(), size.tolist(), called.tolist()):
-                goes_on = data[b, 0] == key
+                goes_on = data[b, 0] == large
                 if n == 1 and not goes_on:
                     continue
                 if n > NAMED or goes_on:
@@ -170,10 +166,9 @@ def group_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     if len(sent) > 1_000_000:
                         sent.clear()
                     sent.add(c)
-                out[0].append(np.full(n, c, np.int64))
-                out[1].append(data[b : b + n, 1])
-                out[2].append(np.full(n, root if goes_on else data[b, 1], np.int64))
-        return rows(*out)
+                groups.append(np.full(n, c, np.int64))
+                names.append(data[b : b + n, 1])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(groups)), pa.array(np.concatenate(names))], ["grp", "name"])
 
     for batch in batches:
         data = np.concatenate([kept, np.stack([np.asarray(batch.column(i), np.int64) for i in (0, 1)], 1)])
@@ -185,10 +180,9 @@ def group_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         last = int(np.searchsorted(data[:, 0], data[-1, 0]))  # sorted by key, as Spark sorts signed longs
         yield whole(data[:last])
         kept = data[last:]
-        if len(kept) > 16 * NAMED:  # a large group: pass it on, keep its name
+        if len(kept) > 16 * NAMED:  # a large group: pass it on
+            large = kept[0, 0]
             yield whole(kept[:-1])
-            if key != kept[0, 0]:
-                key, root = kept[0, 0], kept[0, 1]
             kept = kept[-1:]
     yield whole(kept)
 
@@ -265,29 +259,36 @@ def _folded(bitmaps: np.ndarray) -> np.ndarray:
     return bitmaps[:, :half] | bitmaps[:, half:]
 
 
-def tree_pairs(names: np.ndarray, sizes: np.ndarray, bitmaps: list[bytes], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of names of one group that may be linked and are of different components.
+def bitmaps(rows: np.ndarray, grams: np.ndarray, sizes: np.ndarray, bits: np.ndarray) -> list[np.ndarray]:
+    """Each set's token bitmap as words of 64 bits."""
+    ends = np.cumsum(bits)
+    marks = np.zeros(int(bits.sum()), bool)
+    marks[(ends - bits)[rows] + (grams & (bits - 1).astype(np.uint64)[rows]).astype(np.int64)] = True
+    packed = np.packbits(marks, bitorder="little").view(np.uint64)
+    return np.split(packed, (ends // 64)[:-1])
+
+
+def tree_pairs(sizes: np.ndarray, maps: list[np.ndarray], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of members that may be linked and are of different components.
 
     Linked sets differ in size by less than a factor of two, so their bitmaps have one width or the next:
     there is a tree for each width, and the wider of two is folded."""
     order = np.argsort(sizes, kind="stable")
-    names, sizes, parts = names[order], sizes[order], parts[order]
-    widths = np.array([len(bitmaps[k]) for k in order])
+    widths = np.array([len(maps[k]) for k in order])
     out: list[tuple[np.ndarray, np.ndarray]] = []
     trees = {}
-    for width in np.unique(widths):
-        mine = np.flatnonzero(widths == width)
-        maps = np.frombuffer(b"".join(bitmaps[order[k]] for k in mine), np.uint64).reshape(len(mine), -1)
-        trees[width] = mine, maps, Tree.build(maps, sizes[mine], parts[mine])
-    for width, (mine, maps, tree) in trees.items():
+    for width in np.unique(widths).tolist():
+        mine = order[widths == width]
+        own = np.stack([maps[k] for k in mine])
+        trees[width] = mine, own, Tree.build(own, sizes[mine], parts[mine])
+    for width, (mine, own, tree) in trees.items():
         i, j = traverse(tree)
         out.append((mine[i], mine[j]))
-        if width // 2 in trees:
+        if width % 2 == 0 and width // 2 in trees:
             less, _, smaller = trees[width // 2]
-            i, j = traverse(smaller, Tree.build(_folded(maps), sizes[mine], parts[mine]))
+            i, j = traverse(smaller, Tree.build(_folded(own), sizes[mine], parts[mine]))
             out.append((less[i], mine[j]))
-    i, j = (np.concatenate(x) for x in zip(*out))
-    return names[i], names[j]
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[pa.RecordBatch]:
@@ -307,65 +308,138 @@ def runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[pa.RecordB
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Common members of two sorted arrays without repeats."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
+
+
+class Forest:
+    """Components by number, joined as links are found."""
+
+    def __init__(self, parts: np.ndarray):
+        _, self.parts = np.unique(parts, return_inverse=True)
+        self.parent = list(range(int(self.parts.max(initial=-1)) + 1))
+
+    def joins(self, a: int, b: int) -> tuple[int, int] | None:
+        """The two components, if the members are not joined yet."""
+        p, q = self._top(int(self.parts[a])), self._top(int(self.parts[b]))
+        return (p, q) if p != q else None
+
+    def join(self, p: int, q: int) -> None:
+        self.parent[p] = q
+
+    def _top(self, p: int) -> int:
+        parent = self.parent
+        while parent[p] != p:
+            parent[p] = p = parent[parent[p]]
+        return p
+
+
+def _pairs_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([k[c] for k in links], pa.int64()) for c in (0, 1)], ["x", "y"])
+
+
+def _unpacked(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
 def search_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(grp, one, two, block, name, n, part, bitmap)`` of pairs of blocks to ``(x, y)``."""
+    """Rows ``(grp, one, two, block, rep, n, bitmap)`` of pairs of blocks to pairs ``(x, y)`` that may be
+    linked: a spanning forest of all such pairs."""
+    links: list[tuple[int, int]] = []
     for run in runs(batches, 3):
-        one, two = run.column(1)[0].as_py(), run.column(2)[0].as_py()
-        block, names, sizes, parts = (np.asarray(run.column(i), np.int64) for i in (3, 4, 5, 6))
-        _, parts = np.unique(parts, return_inverse=True)  # components by number, since -1 is kept for mixed nodes
-        x, y = tree_pairs(names, sizes, run.column(7).to_pylist(), parts)
-        if one != two and len(x):  # pairs within one block belong to that block's own run
-            of = dict(zip(names.tolist(), block.tolist()))
-            across = np.array([of[a] != of[b] for a, b in zip(x.tolist(), y.tolist())], bool)
-            x, y = x[across], y[across]
-        if len(x):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["x", "y"])
-
-
-def may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with sizes and bitmaps, less those whose largest possible overlap is too small."""
-    for batch in batches:
-        kept = []
-        for x, y, m, n, p, q in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            a, b = np.frombuffer(p, np.uint64)[None], np.frombuffer(q, np.uint64)[None]
-            if 4 * min(m, n) < 3 * max(m, n):
-                continue
-            while a.shape[1] > b.shape[1]:
-                a = _folded(a)
-            while b.shape[1] > a.shape[1]:
-                b = _folded(b)
-            one, two = (Tree.build(w, np.array([k]), np.array([part])).levels[0] for w, k, part in ((a, m, 0), (b, n, 1)))
-            if _possible(one, two, np.zeros(1, int), np.zeros(1, int))[0]:
-                kept.append((x, y))
-        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.int64()) for i in (0, 1)], ["x", "y"])
-
-
-def exact_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(x, y, text of x, text of y)`` to the pairs that are linked."""
+        apart = run.column(1)[0] != run.column(2)[0]
+        block, reps, sizes = (np.asarray(run.column(i), np.int64) for i in (3, 4, 5))
+        i, j = tree_pairs(sizes, _unpacked(run.column(6)), np.arange(len(reps)))
+        if apart:  # pairs within one block belong to that block's own run
+            i, j = i[block[i] != block[j]], j[block[i] != block[j]]
+        forest = Forest(np.arange(len(reps)))
+        for a, b in zip(i.tolist(), j.tolist()):
+            if tops := forest.joins(a, b):
+                forest.join(*tops)
+                links.append((min(reps[a], reps[b]), max(reps[a], reps[b])))
+        if len(links) > 10_000:
+            yield _pairs_batch(list(set(links)))
+            links = []
+    yield _pairs_batch(list(set(links)))
+
+
+def search_clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(cluster, one, two, block, rep, part, text)`` of pairs of blocks to links ``(x, y)``.
+
+    What the trees leave is compared exactly, the likeliest pairs first. A link joins two components, and
+    pairs within one component need no comparison, so the links found are those of a spanning forest."""
     num, den = SIMILAR
-    for batch in batches:
-        for part in slices(batch, 2, 1 << 22):
-            sides = [shingle_sets(part.column(i)) for i in (2, 3)]
-            rows, grams = (np.concatenate([s[k] for s in sides]) for k in (0, 1))
-            order = np.lexsort((grams, rows))
-            rows, grams = rows[order], grams[order]
-            twice = (rows[1:] == rows[:-1]) & (grams[1:] == grams[:-1])
-            shared = np.bincount(rows[1:][twice], minlength=len(part))
-            union = sides[0][2] + sides[1][2] - shared
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["x", "y"]).filter(
-                pa.array((den * shared >= num * union) & (shared > 0)))
-
-
-def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of pairs of names, the linked pairs of class representatives."""
-    side = lambda p: classes.select(F.col("name").alias(f"name_{p}"), F.col("rep").alias(f"rep_{p}"), F.col("n").alias(f"n_{p}"), F.col("bitmap").alias(f"bitmap_{p}"))
-    told = pairs.join(side("x"), F.col("x") == F.col("name_x")).join(side("y"), F.col("y") == F.col("name_y"))
-    able = told.select("rep_x", "rep_y", "n_x", "n_y", "bitmap_x", "bitmap_y").mapInArrow(may_link, "x long, y long")
-    able = written(able.where("x <> y").distinct(), "pairs")
-    wanted = able.select("x").union(able.select("y")).distinct()
-    some = texts.join(wanted, texts["id"] == wanted["x"], "left_semi")
-    both = able.join(some.toDF("x", "text_x"), "x").join(some.toDF("y", "text_y"), "y")
-    return written(both.select("x", "y", "text_x", "text_y").mapInArrow(exact_links, "x long, y long"), "links")
+    for run in runs(batches, 3):
+        apart = run.column(1)[0] != run.column(2)[0]
+        block, reps, parts = (np.asarray(run.column(i), np.int64) for i in (3, 4, 5))
+        forest = Forest(parts)
+        rows, grams, sizes = shingle_sets(run.column(6))
+        sets = np.split(grams, np.cumsum(sizes)[:-1])
+        maps = bitmaps(rows, grams, sizes, 4 * bitmap_bits(sizes))
+        i, j = tree_pairs(sizes, maps, forest.parts)
+        if apart:
+            i, j = i[block[i] != block[j]], j[block[i] != block[j]]
+        likely = np.argsort(-_likeness(maps, sizes, i, j), kind="stable")
+        links = []
+        for a, b in zip(i[likely].tolist(), j[likely].tolist()):
+            if tops := forest.joins(a, b):
+                both = shared(sets[a], sets[b])
+                if den * both >= num * (sizes[a] + sizes[b] - both) and both:
+                    forest.join(*tops)
+                    links.append((reps[a], reps[b]))
+        if links:
+            yield _pairs_batch(links)
+
+
+def _likeness(maps: list[np.ndarray], sizes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Common bits against summed sizes, to order pairs by."""
+    out = np.zeros(len(i))
+    for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
+        n = min(len(maps[a]), len(maps[b]))
+        out[k] = np.bitwise_count(maps[a][:n] & maps[b][:n]).sum() / (sizes[a] + sizes[b]) * (len(maps[a]) / n)
+    return out
+
+
+def block_pairs(rows: DataFrame, key: str, blocks: F.Column) -> DataFrame:
+    """Rows in blocks by a hash of their representative, once for every pair ``(one, two)`` of blocks of
+    their key that theirs is in."""
+    told = rows.withColumn("blocks", blocks).withColumn("block", F.expr("pmod(xxhash64(rep), blocks)").cast("long"))
+    other = told.withColumn("other", F.explode(F.expr("sequence(0L, cast(blocks - 1 as bigint))")))
+    return other.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("other", "blocks")
+
+
+def cluster_links(clusters: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links within clusters ``(cluster, rep, n, part)``.
+
+    Clusters of one block are compared whole. For the others every block is compared in itself and with the
+    cluster's first member, which joins most of a large group of near copies; then all pairs of blocks of
+    the clusters that are still of several components."""
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("long").alias("blocks"), F.min_by("rep", "rep").alias("first"))
+    told = written(clusters.join(sizes, "cluster").withColumn("block", F.expr("pmod(xxhash64(rep), blocks)")), "clusters")
+    bridges = told.where("blocks > 1 and rep = first").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    own = told.where("blocks = 1 or rep <> first").union(bridges.select(told.columns))
+    ready = texts.withColumnRenamed("id", "rep").join(own.hint("shuffle_hash"), "rep").select(
+        "cluster", F.col("block").alias("one"), F.col("block").alias("two"), "block", "rep", "part", "text")
+    runs_of = ready.repartition("cluster", "one", "two").sortWithinPartitions("cluster", "one", "two")
+    links = written(runs_of.mapInArrow(search_clusters, "x long, y long"), "links")
+    several = told.where("blocks > 1")
+    if several.isEmpty():
+        return links
+    joined = connected(links).withColumnRenamed("node", "rep").withColumnRenamed("component", "now")
+    open_ = several.join(joined, "rep", "left").withColumn("part", F.coalesce("now", "part")).drop("now")
+    still = open_.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("cluster")
+    rest = written(open_.join(still, "cluster", "left_semi").select("cluster", "rep", "part", "blocks"), "open")
+    if rest.isEmpty():
+        return links
+    met = block_pairs(rest, "cluster", F.col("blocks")).where("one < two")
+    found = texts.withColumnRenamed("id", "rep").join(met.hint("shuffle_hash"), "rep").select("cluster", "one", "two", "block", "rep", "part", "text")
+    found = found.repartition("cluster", "one", "two").sortWithinPartitions("cluster", "one", "two")
+    return links.union(found.mapInArrow(search_clusters, "x long, y long"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -379,9 +453,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links are those of all its texts, and each row keeps its own set size. Other columns are not read. An
     empty table gives an empty result.
 
-    Equal sets meet by name first, so copies cost one row each. Groups are sorted and read as streams; a
-    group of more than 1,024 classes is compared in pairs of blocks, never as a whole. Compared pairs are
-    representatives of classes."""
+    Equal sets meet by name first, so copies cost one row each, and the texts of a cluster are moved once.
+    Groups are sorted and read as streams. Groups and clusters beyond a block are compared in pairs of
+    blocks, never as a whole."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = written(rows.mapInArrow(describe, "id long, n long, set_a long, set_b long, bitmap binary"), "sets")
     texts = rows.where("id is not null and text is not null")
@@ -393,23 +467,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(texts))
     keys = texts.mapInArrow(first_shingles(frequent), "key long, name long")
-    members = keys.repartition("key").sortWithinPartitions("key", "name").mapInArrow(group_members, "grp long, name long, root long")
+    members = keys.repartition("key").sortWithinPartitions("key", "name").mapInArrow(group_members, "grp long, name long")
     groups = written(members.distinct(), "groups")
 
-    near = verified(groups.where("name <> root").select(F.col("root").alias("x"), F.col("name").alias("y")).distinct(), classes, texts)
-    known = written(connected(near.select("x", "y").union(copies.select("rep", "id"))), "components")
-    parts = classes.join(known.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "name", "n", "bitmap", F.coalesce("component", "rep").alias("part"))
-    placed = groups.select("grp", "name").join(parts, "name")
-    mixed = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("size"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    spread = placed.join(mixed.select("grp", blocks.alias("blocks")), "grp").withColumn("block", F.expr("pmod(xxhash64(name), blocks)").cast("long"))
-    paired = spread.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "grp", F.least("block", F.col("other").cast("long")).alias("one"), F.greatest("block", F.col("other").cast("long")).alias("two"),
-        "block", "name", "n", "part", "bitmap")
-    found = paired.repartition("grp", "one", "two").sortWithinPartitions("grp", "one", "two").mapInArrow(search_groups, "x long, y long")
-    far = verified(found.distinct(), classes, texts)
-
-    final = connected(known.select("node", "component").union(far.select("x", "y")))
+    # sizes alone leave out members without a partner of a size within 3 to 4; bitmaps are attached last
+    sized = groups.join(classes.select("name", "rep", "n").hint("merge"), "name")
+    order = Window.partitionBy("grp").orderBy("n")
+    num, den = SIMILAR
+    beside = (den * F.lag("n").over(order) >= num * F.col("n")) | (den * F.col("n") >= num * F.lead("n").over(order))
+    placed = sized.withColumn("beside", beside).where("beside").drop("beside")
+    sizes = placed.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("long").alias("blocks"))
+    pairs = block_pairs(placed.join(sizes, "grp"), "grp", F.col("blocks"))
+    met = pairs.join(classes.select("name", "bitmap").hint("merge"), "name").select("grp", "one", "two", "block", "rep", "n", "bitmap")
+    met = met.repartition("grp", "one", "two").sortWithinPartitions("grp", "one", "two")
+    able = written(connected(met.mapInArrow(search_groups, "x long, y long")), "able")
+    clusters = able.join(classes.withColumnRenamed("rep", "node"), "node").select(
+        F.col("component").alias("cluster"), F.col("node").alias("rep"), "n", F.col("node").alias("part"))
+    links = cluster_links(clusters, texts)
+
+    final = connected(links.select("x", "y").union(copies.select("rep", "id")))
     return sets.select("id", "n").join(final.withColumnRenamed("node", "id"), "id", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))

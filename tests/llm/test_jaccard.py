@@ -64,7 +64,8 @@ def test_against_brute_force(spark):
 
 
 def test_large_groups_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "BLOCK", 2000)
+    monkeypatch.setattr(jaccard, "MEMBERS", 16)
     monkeypatch.setattr(jaccard, "NAMED", 4)
     rng = random.Random(1)
     base = [f"w{k}" for k in range(80)]
@@ -92,13 +93,10 @@ def test_traversal_keeps_every_link():
             sets.append(np.unique(np.concatenate([base[rng.random(len(base)) > 0.05], rng.integers(0, 2**63, 2).astype(np.uint64)])))
             names.append(len(names))
     sizes = np.array([len(x) for x in sets])
-    maps = []
-    for x, bits in zip(sets, jaccard.bitmap_bits(sizes)):
-        marks = np.zeros(bits, bool)
-        marks[(x & np.uint64(bits - 1)).astype(int)] = True
-        maps.append(np.packbits(marks, bitorder="little").tobytes())
+    rows, grams = np.repeat(np.array(names), sizes), np.concatenate(sets)
+    maps = jaccard.bitmaps(rows, grams, sizes, jaccard.bitmap_bits(sizes))
     parts = rng.integers(0, 30, len(sets))
-    x, y = tree_pairs(np.array(names), sizes, maps, parts)
+    x, y = tree_pairs(sizes, maps, parts)
     found = {(min(p), max(p)) for p in zip(x.tolist(), y.tolist())}
     links = set()
     for i in names:
