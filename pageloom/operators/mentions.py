@@ -4,60 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pageloom.functions.sql import once
 from pageloom.functions.text import ENTITY_TYPES, confidence, entity_id, stringify
 from pageloom.operators.chunks import SUMMARY
 
 #: Lossless split into letter runs and what lies between them.
 PIECE = r"\p{L}+|[^\p{L}]+"
-BLOCK = 48
-
-
-def _running(start: Column, items: Column, size: Callable[[Column], Column]) -> Column:
-    """Start offset of each item, and one past the last."""
-    return F.aggregate(items, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + size(x))))
+#: Words that a batch holds before it is handed on.
+FLUSH = 50_000
 
 
 def words_with_offsets(df: DataFrame, text: str, lookahead: int = 0) -> DataFrame:
     """One row per word: ``word`` (lower case), ``source_text``, ``start_pos`` and, with a lookahead,
-    ``ahead``: the pieces up to ``lookahead`` words further. Offsets are summed in blocks inside the
-    row, so there is no window and no shuffle."""
+    ``ahead``: the pieces up to ``lookahead`` words further. Pieces of letters and of other characters
+    take turns, so one split and one running sum of lengths per text give all words; time is linear in
+    the text. Batches leave as they are filled; there is no window and no shuffle."""
     carried = [c for c in df.columns if c != text]
-    df = df.filter(F.length(text) > 0)
-    df = df.select(*carried, F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0)).alias("_p"))
-    numbers = F.sequence(F.lit(0), F.floor((F.size("_p") - 1) / BLOCK).cast("int"))
-    blocks = once(F.col("_p"), lambda p: F.transform(
-        numbers,
-        lambda b: F.struct(
-            F.slice(p, b * BLOCK + 1, BLOCK).alias("own"),
-            F.slice(p, (b + 1) * BLOCK + 1, max(1, 2 * lookahead)).alias("next"),
-        ),
-    ))
-    df = df.select(*carried, blocks.alias("_b"))
-    df = df.withColumn("_at", _running(F.lit(0), F.col("_b"), lambda b: F.length(F.array_join(b["own"], ""))))
-    placed = once(F.col("_at"), lambda at: F.transform(
-        "_b", lambda b, i: F.struct(b["own"].alias("_own"), b["next"].alias("_next"), F.get(at, i).alias("_base"))
-    ))
-    df = df.select(*carried, F.inline_outer(placed))
-    df = df.withColumn("_starts", _running(F.col("_base"), F.col("_own"), F.length))
-
-    def read(starts, pieces):
-        return F.transform(
-            "_own",
-            lambda p, i: F.struct(
-                p.alias("source_text"), F.get(starts, i).alias("start_pos"),
-                *([F.slice(pieces, i + 2, 2 * lookahead).alias("ahead")] if lookahead else []),
-            ),
-        )
-
-    word = once(F.col("_starts"), lambda at: once(F.concat("_own", "_next"), lambda ps: read(at, ps)))
-    rows = df.select(*carried, F.inline_outer(F.filter(word, lambda w: w["source_text"].rlike(r"^\p{L}"))))
-    rows = rows.filter("source_text is not null")
-    return rows.withColumn("word", F.lower("source_text"))
+    rows = df.filter(F.length(text) > 0).select(*carried, F.col(text).alias("_text"))
+    schema = T.StructType([f for f in rows.schema.fields if f.name != "_text"] + [
+        T.StructField("source_text", T.StringType()), T.StructField("start_pos", T.IntegerType())]
+        + ([T.StructField("ahead", T.ArrayType(T.StringType()))] if lookahead else []))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pattern, letter = regex.compile(PIECE), regex.compile(r"\p{L}")
+        for batch in batches:
+            keys = batch.select(carried)
+            owners, words, starts, ahead = [], [], [], []
+
+            def flush():
+                own = np.repeat(np.array([o for o, _ in owners], np.int64), [n for _, n in owners])
+                columns = [keys.column(i).take(pa.array(own)) for i in range(len(carried))]
+                columns += [pa.array(words, pa.string()), pa.array(np.concatenate(starts).astype(np.int32))]
+                return pa.RecordBatch.from_arrays(columns + ([pa.array(ahead, pa.list_(pa.string()))] if lookahead else []), schema.names)
+
+            for i, value in enumerate(batch.column(len(carried))):
+                pieces = pattern.findall(value.as_py())
+                first = 0 if letter.match(pieces[0]) else 1
+                found = pieces[first::2]
+                if not found:
+                    continue
+                owners.append((i, len(found)))
+                words.extend(found)
+                starts.append((np.cumsum(list(map(len, pieces))) - list(map(len, pieces)))[first::2])
+                if lookahead:
+                    ahead.extend(pieces[k + 1 : k + 1 + 2 * lookahead] for k in range(first, len(pieces), 2))
+                if len(words) >= FLUSH:
+                    yield flush()
+                    owners, words, starts, ahead = [], [], [], []
+            if words:
+                yield flush()
+
+    return rows.mapInArrow(read, schema).withColumn("word", F.lower("source_text"))
 
 
 def extract_mentions(
