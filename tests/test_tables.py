@@ -185,3 +185,17 @@ def test_shared_folder_is_asked_for_on_a_cluster():
     assert shared_dir(Session(spark_master="yarn", spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y"
     local = Session(spark_master="local[2]")
     assert shared_dir(local) == shared_dir(local)
+
+
+def test_names_of_several_words(spark):
+    from pageloom.operators.mentions import extract_mentions, words_with_offsets
+
+    text = "  Oil pump, oil  pump and OIL PUMP; pump oil\nÖl été 3a b4"
+    docs = spark.createDataFrame([("a1", 1, 2, text), ("a2", 1, 3, ""), ("a3", 1, 4, None), ("a4", 1, 5, "123 ...")],
+                                 "article_id string, chapter_number int, article_number int, markdown_content string")
+    names = spark.createDataFrame([("oil pump", "concept"), ("pump", "concept"), ("öl", "concept")], "name string, entity_type string")
+    got = [(r.source_text, r.start_pos, r.end_pos) for r in extract_mentions(docs, names).orderBy("start_pos", "name").collect()]
+    assert got == [("Oil pump", 2, 10), ("pump", 6, 10), ("pump", 17, 21), ("OIL PUMP", 26, 34), ("PUMP", 30, 34), ("pump", 36, 40), ("Öl", 45, 47)]
+    assert all(text[a:b] == s for s, a, b in got)
+    words = [(r.source_text, r.start_pos, r.ahead) for r in words_with_offsets(docs, "markdown_content", 1).orderBy("start_pos").collect()]
+    assert words[-1] == ("b", 55, ["4"]) and words[0] == ("Oil", 2, [" ", "pump"])
