@@ -28,7 +28,6 @@ PERIOD = 13
 #: A difference cover of the period: every residue is a difference of two of these.
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
-ASCII_SPACE = b" \t\n\r\x0b\x0c"
 
 
 def _long(x: np.ndarray) -> pa.Array:
