@@ -12,7 +12,9 @@ so far leaves. Best-fit decreasing gives the first solution and one more at ever
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,18 +43,33 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo, self.longest, self.known = memo, longest, {}
+        assert sys.byteorder == "little" and array("I").itemsize == 4
+
+    def _unknown(self, parts: list[list[str]]) -> set[str]:
+        return set().union(*parts).difference(self.known)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [None if OTHER_SPACE.search(t) or any(s in t for s in self.specials) else PARTS.findall(t) for t in texts]
-        new = {p for part in parts if part for p in part if p not in self.known}
+        parts = [PARTS.findall(t) for t in texts]
+        new = self._unknown(parts)
         if len(self.known) + len(new) > self.memo:
             self.known.clear()
-            new = {p for part in parts if part for p in part}
-        fresh = {}
-        for several in _chunks(sorted(new), 10_000):
-            for p, got in zip(several, self.tokenizer.encode_batch(several, add_special_tokens=False)):
-                ids = np.array(got.ids, "<u4").tobytes()
-                (self.known if len(p) <= self.longest else fresh)[p] = ids
+            new = self._unknown(parts)
+        # parts that may not be cut so are never kept, so only new ones can be such; their texts stay whole
+        odd = {p for p in new if OTHER_SPACE.search(p) or any(s in p for s in self.specials)}
+        spaced = [s for s in self.specials if " " in s or "\n" in s]
+        if odd or spaced:
+            parts = [None if not odd.isdisjoint(part) or any(s in t for s in spaced) else part for part, t in zip(parts, texts)]
+            new -= odd
+        cores = {w: _core(w) for w in new}
+        fresh: dict[str, bytes] = {}
+        wanted = sorted({piece for pieces in cores.values() for piece in pieces if piece not in self.known})
+        for several in _chunks(wanted, 10_000):
+            for p, got in zip(several, self.tokenizer.encode_batch_fast(several, add_special_tokens=False)):
+                (self.known if len(p) <= self.longest else fresh)[p] = array("I", got.ids).tobytes()
+        for w, pieces in cores.items():
+            if len(pieces) > 1:
+                ids = b"".join(fresh[p] if p in fresh else self.known[p] for p in pieces)
+                (self.known if len(w) <= self.longest else fresh)[w] = ids
         known = self.known
         out = []
         for text, part in zip(texts, parts):
@@ -65,6 +82,16 @@ class Encoder:
         return out
 
 
+def _core(part: str) -> tuple[str, ...]:
+    """A part cut once more where tokenizers of this kind always cut: after a single line feed before a word,
+    and before a comma or full stop that ends the part after a letter or number."""
+    head = ("\n",) if part[0] == "\n" and part[1:2] not in ("", " ", "\n") else ()
+    word = part[len(head) :]
+    if word[-1] in ".," and word[-2:-1].isalnum():
+        return (*head, word[:-1], word[-1])
+    return (*head, word)
+
+
 def _chunks(items: list, size: int) -> Iterator[list]:
     for a in range(0, len(items), size):
         yield items[a : a + size]
@@ -80,7 +107,7 @@ def cut_into_pieces(path: str, capacity: int, end_id: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1, 1 << 22):
+            for part in slices(batch, 1):
                 rows: list[tuple] = []
                 close = np.array([end_id], "<u4")
                 for i, ids in enumerate(encoder(path).encode([t or "" for t in part.column(1).to_pylist()])):

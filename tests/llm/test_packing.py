@@ -115,6 +115,7 @@ def test_whole_small_table(spark):
 
 def test_encoder_forgets_without_harm():
     library, own = Tokenizer.from_file(PATH), Encoder(PATH, memo=20, longest=5)
-    texts = ["the thing of the xylophone", "a  b \n c", "tab\there", "longerword " * 30, "", "<|endoftext|>x"]
+    texts = ["the thing of the xylophone", "a  b \n c", "tab\there", "longerword " * 30, "", "<|endoftext|>x",
+             "\nA.\n\nb, c., d's. 1,2,3. é, .\n,\n.x x.. \n\n, ½, 漢."]
     for _ in range(3):
         assert [x.tolist() for x in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
