@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import Memo
+from pageloom.llm.common import Memo, hold_alone
 
 #: Fixed value of byte-level tokenizers: how a text falls into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -133,6 +133,7 @@ def token_counts(
     empty table gives an empty result. A special string of the tokenizer inside a text is one token."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_alone("bpe", counter.cache_clear)
         tokens = counter(tokenizer).count
         for batch in batches:
             counts = pa.array([tokens(t) if t else 0 for t in batch.column(1).to_pylist()], pa.int64())

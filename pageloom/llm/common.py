@@ -23,6 +23,17 @@ def ascii_lower(text: Column | str) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+_HOLDERS: dict[str, Callable[[], None]] = {}
+
+
+def hold_alone(name: str, clear: Callable[[], None]) -> None:
+    """A Python worker serves many stages: what other operators remember there is dropped, and ``clear``
+    will drop what the caller is about to remember."""
+    for other in [k for k in _HOLDERS if k != name]:
+        _HOLDERS.pop(other)()
+    _HOLDERS[name] = clear
+
+
 class Memo(dict):
     """A function's results by argument, emptied when it holds ``size`` of them: it saves work only.
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.llm.bpe import OTHER_SPACE, PARTS
+from pageloom.llm.common import hold_alone
 from pageloom.llm.words import slices
 from pageloom.session import written
 
@@ -106,6 +107,7 @@ def cut_into_pieces(path: str, capacity: int, end_id: int):
     """``(id, text)`` to ``(id, piece, start, length, ids_crc32)``. Of a longer document the first piece is the shorter one."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_alone("packing", encoder.cache_clear)
         for batch in batches:
             for part in slices(batch, 1):
                 rows: list[tuple] = []

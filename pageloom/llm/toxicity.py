@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.llm.common import hold_alone
 from pageloom.llm.words import slices
 
 DECAY = 0.6
@@ -142,7 +143,7 @@ class Model:
 class Reader:
     """Texts to sentence vectors at the landmarks. Words are remembered by value, up to a number of them."""
 
-    def __init__(self, landmarks: np.ndarray, memo: int = 1_000_000):
+    def __init__(self, landmarks: np.ndarray, memo: int = 500_000):
         self.landmarks, self.memo = landmarks, memo
         self.near: dict[str, np.ndarray | None] = {}
 
@@ -304,6 +305,7 @@ def _scorer(model) -> object:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
+        hold_alone("toxicity", _READERS.clear)
         if id(m) not in _READERS:
             _READERS.clear()
             _READERS[id(m)] = m, Reader(m.landmarks)
