@@ -24,34 +24,35 @@ def passage_hash(text: Column) -> Column:
 
 
 def quote_lines(messages: DataFrame) -> DataFrame:
-    """``(conv, turn, text)`` to a row for each line: place, quote level, body and number of its passage.
+    """``(conv, turn, msg, text)`` to a row for each line: place, quote level, body and number of its passage;
+    ``msg`` tells messages of one turn apart.
 
     A passage ends at an empty line or where the level changes. Level-0 lines that announce a quote right
     below them are of no passage (number null), like empty lines."""
-    lines = messages.select("conv", "turn", "text", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"\r\n|\r|\n")).alias("place", "line"))
+    lines = messages.select("conv", "turn", "msg", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("place", "line"))
     marks = F.regexp_extract("line", MARKS, 1)
     lines = lines.withColumn("level", F.length(F.translate(marks, " ", ""))).withColumn(
         "body", F.trim(F.regexp_replace("line", MARKS, "")))
-    order = Window.partitionBy("conv", "turn", "text").orderBy("place")
+    order = Window.partitionBy("conv", "turn", "msg").orderBy("place")
     announces = (F.col("level") == 0) & (F.lead("level").over(order) > 0) & F.col("line").rlike(ANNOUNCES)
     lines = lines.withColumn("void", (F.col("body") == "") | F.coalesce(announces, F.lit(False)))
     begins = ~F.col("void") & (
         F.lag("void").over(order).isNull() | F.lag("void").over(order) | (F.lag("level").over(order) != F.col("level")))
     number = F.sum(begins.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return lines.withColumn("passage", F.when(~F.col("void"), number)).select("conv", "turn", "text", "place", "level", "body", "passage")
+    return lines.withColumn("passage", F.when(~F.col("void"), number)).select("conv", "turn", "msg", "place", "level", "body", "passage")
 
 
 def passages(lines: DataFrame) -> DataFrame:
-    """``(conv, turn, text, passage, level, hash)``; a passage is no longer than its message."""
+    """``(conv, turn, msg, passage, level, hash)``; a passage is no longer than its message."""
     body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "body"))), lambda x: x["body"]), " ")
-    return lines.where("passage is not null").groupBy("conv", "turn", "text", "passage").agg(
+    return lines.where("passage is not null").groupBy("conv", "turn", "msg", "passage").agg(
         F.first("level").alias("level"), passage_hash(body).alias("hash"))
 
 
 def link_quotes(found: DataFrame) -> DataFrame:
-    """``(conv, turn, text, level, hash, origin)`` of quoted passages; ``origin`` null: nobody wrote it before."""
+    """``(conv, turn, msg, level, hash, origin)`` of quoted passages; ``origin`` null: nobody wrote it before."""
     own = found.where("level = 0").groupBy("conv", "hash").agg(F.min("turn").alias("origin"))
-    quoted = found.where("level > 0").select("conv", "turn", "text", "level", "hash")
+    quoted = found.where("level > 0").select("conv", "turn", "msg", "level", "hash")
     linked = quoted.join(own, ["conv", "hash"], "left")
     return linked.withColumn("origin", F.when(F.col("origin") < F.col("turn"), F.col("origin")))
 
@@ -84,15 +85,17 @@ def unquote(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     turn keep their types; turns are numbers. Other columns are not read. An empty table gives an empty
     result. A passage that only quotes repeat has no origin. Passages, hashes and links are per message or
     per conversation and passage, so a long conversation is not gathered anywhere."""
-    rows = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(text_col, F.lit("")).alias("text")).distinct()
+    rows = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(text_col, F.lit("")).alias("text"))
+    # the texts are shuffled once: lines and passages keep to the partitions of their message
+    rows = rows.withColumn("msg", F.md5("text")).dropDuplicates(["conv", "turn", "msg"])
     lines = written(quote_lines(rows), "lines")
-    linked = written(link_quotes(passages(lines)), "quotes")
+    linked = written(link_quotes(written(passages(lines), "passages")), "quotes")
     plain = F.transform(F.sort_array(F.collect_list(F.when((F.col("level") == 0) & (F.col("passage").isNotNull() | (F.col("body") == "")), F.struct("place", "body")))), lambda x: x["body"])
-    own = lines.groupBy("conv", "turn", "text").agg(F.regexp_replace(F.array_join(plain, "\n"), r"^\n+|\n+$", "").alias("own_text"))
-    per = linked.groupBy("conv", "turn", "text").agg(
+    own = lines.groupBy("conv", "turn", "msg").agg(F.regexp_replace(F.array_join(plain, "\n"), r"^\n+|\n+$", "").alias("own_text"))
+    per = linked.groupBy("conv", "turn", "msg").agg(
         F.count(F.lit(1)).alias("n_quotes"), F.count("origin").alias("n_linked"),
         F.max(F.when(F.col("origin").isNotNull(), F.struct((-F.col("level")).alias("low"), "origin")))["origin"].alias("parent"))
-    keys = [own[c].eqNullSafe(per[c]) for c in ("conv", "turn", "text")]
+    keys = [own[c].eqNullSafe(per[c]) for c in ("conv", "turn", "msg")]
     told = own.join(per, keys, "left").select(own["conv"], own["turn"], "own_text", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "parent")
     told = written(told, "messages")
     placed = threads(told.groupBy("conv", "turn").agg(F.max("parent").alias("parent")))
