@@ -65,10 +65,11 @@ def threads(replies: DataFrame) -> DataFrame:
     while not now.where("up is not null").isEmpty():
         above = now.where("conv is not null and turn is not null").select(
             "conv", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("thread").alias("thread2"))
-        met = now.join(above, ["conv", "up"], "left")
-        now = written(met.select(
+        # messages whose first one is known are passed on without a join
+        met = now.where("up is not null").join(above, ["conv", "up"], "left").select(
             "conv", "turn", "parent", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-            F.coalesce("thread2", "thread").alias("thread")), "replies")
+            F.coalesce("thread2", "thread").alias("thread"))
+        now = written(met.unionByName(now.where("up is null")), "replies")
     return now.select("conv", "turn", "parent", "thread", "depth")
 
 
