@@ -4,9 +4,10 @@ Lengths are whole numbers up to the capacity, so the packing problem is a histog
 entries, whatever the size of the corpus. It is solved on the driver as patterns with repeat counts; the
 pieces then find their places by their rank among pieces of their length, in Spark.
 
-The search takes the largest length left, enumerates the undominated fillings of the room beside it, and
-uses a filling as often as the counts allow. A branch ends when its waste exceeds what the best solution
-so far leaves. Best-fit decreasing gives the first solution and one more at every node of the search.
+The search takes the largest length left, enumerates the undominated fillings of the room beside it, of any
+number of pieces, and uses a filling as often as the counts allow, then less often. A branch ends when its
+waste exceeds what the best solution so far leaves. Best-fit decreasing gives the first solution and one
+more at every node of the search. Only the number of nodes bounds it.
 """
 
 from __future__ import annotations
@@ -167,8 +168,44 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(counts: dict[int, int], room: int, slack: int) -> Iterator[tuple[int, ...]]:
-    """Undominated sets of lengths that leave at most ``slack`` of the room, those of few lengths first.
+def larger_fillings(counts: dict[int, int], room: int, slack: int) -> Iterator[tuple[int, ...]]:
+    """Sets of three and more lengths, of any number, that leave at most ``slack`` of the room and no room for a
+    length not used, those of long lengths first.
+
+    ``sums[k]`` has the bits of all sums of the ``k`` smallest lengths, so each step taken leads to a filling."""
+    sizes = sorted(counts)
+    whole = (1 << (room + 1)) - 1
+    sums = [1]
+    for s in sizes:
+        reach, more, n = sums[-1], 1, min(counts[s], room // s)
+        while n > 0:
+            more = min(more, n)
+            reach |= (reach << (s * more)) & whole
+            n, more = n - more, 2 * more
+        sums.append(reach)
+
+    def further(taken: tuple[int, ...], left: int, k: int, slack: int) -> Iterator[tuple[int, ...]]:
+        if not k or left < sizes[0]:
+            if len(taken) > 2:
+                yield taken
+            return
+        for j in range(k - 1, -1, -1):
+            s = sizes[j]
+            for n in range(min(counts[s], left // s), 0, -1):
+                rest = left - n * s
+                most = min(slack, s - 1) if n < counts[s] else slack
+                low = max(0, rest - most)
+                if (sums[j] >> low) & ((1 << (rest - low + 1)) - 1):
+                    yield from further(taken + (s,) * n, rest, j, most)
+            slack = min(slack, s - 1)  # from here on this length stays out, so it may not fit at the end
+
+    if sizes:
+        yield from further((), room, len(sizes), slack)
+
+
+def fillings(counts: dict[int, int], room: int, slack: int, few: bool = False) -> Iterator[tuple[int, ...]]:
+    """Undominated sets of lengths that leave at most ``slack`` of the room: single lengths, pairs, then those of
+    any larger number, or with ``few`` only those of three and four.
 
     With all but the last length given, only the largest last one is undominated. A pair also has to hold
     a longer second length than the pairs with a longer first one, and more than the best single length."""
@@ -205,6 +242,9 @@ def fillings(counts: dict[int, int], room: int, slack: int) -> Iterator[tuple[in
             yield from deeper((*taken, a), left - a, many - 1)
             a = largest(a - 1)
 
+    if not few:
+        yield from larger_fillings(counts, room, slack)
+        return
     for many in (3, 4):
         yield from deeper((), room, many)
 
@@ -212,21 +252,57 @@ def fillings(counts: dict[int, int], room: int, slack: int) -> Iterator[tuple[in
 def pack(counts: dict[int, int], capacity: int, nodes: int = 3000) -> list[Pattern]:
     """Patterns that hold all lengths in few sequences; never more than best-fit decreasing takes.
 
-    The search ends at a proven optimum or after ``nodes`` nodes."""
+    A first search of up to ``nodes`` nodes takes bins of at most five pieces, with each filling as often as it
+    goes; it soon finds what such bins give. A second of up to ``nodes`` nodes takes bins of any number of pieces
+    and fillings less often too. That one ends at a proven optimum unless it reaches ``nodes``."""
     counts = {s: n for s, n in counts.items() if n}
     best = best_fit(counts, capacity)
-    fewest = sum(m for _, m in best)
     bound = lower_bound(counts, capacity)
+    for few in (True, False):
+        if sum(m for _, m in best) > bound:
+            best = _search(counts, capacity, nodes, best, bound, few)
+    return best
+
+
+def _choices(left: dict[int, int], capacity: int, slack: int, few: bool) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Fillings beside the largest length, each with the number of times it is to be used less than it could be."""
+    size = max(left)
+    beside = dict(left)
+    beside[size] -= 1
+    beside = {s: n for s, n in beside.items() if n}
+    for filling in fillings(beside, capacity - size, slack, few):
+        yield filling, 0
+    if few:
+        return
+    for filling in fillings(beside, capacity - size, slack):
+        for less in range(1, _times(left, (size, *filling))):
+            yield filling, less
+
+
+def _used(pieces: tuple[int, ...]) -> dict[int, int]:
+    used: dict[int, int] = {}
+    for s in pieces:
+        used[s] = used.get(s, 0) + 1
+    return used
+
+
+def _times(left: dict[int, int], pieces: tuple[int, ...]) -> int:
+    return min(left[s] // n for s, n in _used(pieces).items())
+
+
+def _search(counts: dict[int, int], capacity: int, nodes: int, best: list[Pattern], bound: int, few: bool) -> list[Pattern]:
+    """The best of ``best`` and what branch and bound finds in ``nodes`` nodes."""
+    fewest = sum(m for _, m in best)
     total = sum(s * n for s, n in counts.items())
-    stack = [(counts, (), 0, 0, None)]  # lengths left, patterns so far (linked), bins, waste, fillings not yet tried
+    stack = [(counts, (), 0, 0, None)]  # lengths left, patterns so far (linked), bins, waste, choices not yet tried
     visited = 0
     while stack and fewest > bound and visited < nodes:
         left, made, bins, waste, options = stack.pop()
+        visited += options is None
         allowed = (fewest - 1) * capacity - total
         if waste > allowed:
             continue
         if options is None:
-            visited += 1
             rest = best_fit(left, capacity)
             if bins + sum(m for _, m in rest) < fewest:
                 fewest = bins + sum(m for _, m in rest)
@@ -238,22 +314,21 @@ def pack(counts: dict[int, int], capacity: int, nodes: int = 3000) -> list[Patte
                 allowed = (fewest - 1) * capacity - total
             if not left or waste > allowed:
                 continue
-            size = max(left)
-            beside = {s: n for s, n in left.items()}
-            beside[size] -= 1
-            options = fillings({s: n for s, n in beside.items() if n}, capacity - size, allowed - waste)
-        filling = next(options, None)
+            options = _choices(left, capacity, allowed - waste, few)
+        filling, less = next(options, (None, 0))
         if filling is None:
             continue
         stack.append((left, made, bins, waste, options))
         size = max(left)
-        used: dict[int, int] = {}
-        for s in (size, *filling):
-            used[s] = used.get(s, 0) + 1
+        used = _used((size, *filling))
         spare = capacity - size - sum(filling)
-        times = min(left[s] // n for s, n in used.items())
+        times = _times(left, (size, *filling)) - less
         if spare:
-            times = min(times, max(1, (allowed - waste) // spare))
+            most = max(1, (allowed - waste) // spare)
+            if less and times >= most:  # the same as with more repeats
+                visited += 1
+                continue
+            times = min(times, most)
         after = dict(left)
         for s, n in used.items():
             after[s] -= n * times
@@ -286,8 +361,8 @@ def pack_documents(
 
     A document is its token ids and ``end_id``; only one longer than ``capacity`` is cut. A null or empty
     text is the end id alone. Rows with null or repeated ids are packed like all others. Other columns are
-    not read. An empty table gives an empty result. ``nodes`` bounds the search for fewer sequences than
-    best-fit decreasing takes; all pieces are placed in any case.
+    not read. An empty table gives an empty result. ``nodes`` bounds each of the two searches for fewer
+    sequences than best-fit decreasing takes; all pieces are placed in any case.
 
     The driver gets the histogram of lengths, at most ``capacity`` rows. Ranks within a length are counted
     in buckets of about a million pieces at most, so one frequent length does not land in one task."""
