@@ -69,19 +69,24 @@ def extract_mentions(
 ) -> DataFrame:
     """Occurrences of gazetteer names in article text. ``gazetteer(name, entity_type)`` holds lower-case
     names; several words are parted by single blanks. The gazetteer side is broadcast only when its
-    size estimate allows it (Spark decides); otherwise both sides hash on the first word."""
+    size estimate allows it (Spark decides); otherwise both sides hash on the whole name: each word offers
+    itself and what follows it, up to ``max_words`` words, so names that share a frequent first word do not
+    meet all its occurrences. Skewed partitions of frequent words are split by Spark."""
     if max_words is None:
         widest = gazetteer.agg(F.max(F.size(F.split("name", " "))).alias("n")).first()["n"]
         max_words = widest or 1
     carried = ["article_id", "chapter_number", "article_number"]
     words = words_with_offsets(articles.select(*carried, text), text, max_words - 1)
     names = gazetteer.select("name", "entity_type", F.split_part(F.col("name"), F.lit(" "), F.lit(1)).alias("word"))
-    hits = words.join(names, "word")
     source = F.col("source_text")
-    if max_words > 1:
-        more = F.size(F.split("name", " ")) - 1
-        whole = F.concat(F.col("source_text"), F.array_join(F.slice("ahead", F.lit(1), 2 * more), ""))
-        hits = hits.withColumn("_whole", whole).filter(F.lower("_whole") == F.col("name"))
+    if max_words == 1:
+        hits = words.join(names, "word")
+    else:
+        offers = F.array(*[F.struct(
+            F.lit(n).alias("n"), F.concat(source, F.array_join(F.slice("ahead", 1, 2 * n - 2), "")).alias("whole")) for n in range(1, max_words + 1)])
+        offered = words.withColumn("_offer", F.explode(offers)).select(
+            *carried, "start_pos", "word", F.col("_offer.n").alias("_n"), F.col("_offer.whole").alias("_whole"), F.lower("_offer.whole").alias("name"))
+        hits = offered.join(names.withColumn("_n", F.size(F.split("name", " "))), ["name", "_n", "word"])
         source = F.col("_whole")
     return hits.select(
         *carried, F.col("start_pos").alias("position"), "entity_type", "name", source.alias("source_text"), "start_pos",

@@ -66,6 +66,22 @@ FROM (
   FROM (SELECT article_id, chapter_number, article_number, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (
     SELECT *, regexp_extract_all(text, '\p{L}+|[^\p{L}]+') AS ps FROM doc)))
 JOIN gaz ON lower(p) = name"""),
+    "whole_gaz": ([], rf"""
+SELECT name, ({_TYPES})[length(name) % 10 + 1] AS entity_type FROM (
+  SELECT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS name FROM documents
+  UNION SELECT lower(regexp_extract(line, '^\P{{L}}*(\p{{L}}+ \p{{L}}+)', 1)) FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))
+WHERE name <> ''"""),
+    "whole_mention": (["doc", "whole_gaz"], r"""
+SELECT article_id, entity_type || '-' || substr(md5(name), 1, 8) AS entity_id, entity_type, name, p AS source_text, start_pos,
+  start_pos + length(p) AS end_pos, CASE WHEN p = name THEN 1.0 ELSE 0.8 END::DOUBLE AS confidence,
+  CASE WHEN p = name THEN 'match_exact' ELSE 'match_fuzzy' END AS alignment_status
+FROM (
+  SELECT article_id, start_pos, unnest([w, w || gap || next]) AS p FROM (
+    SELECT article_id, p AS w, lead(p) OVER o AS gap, lead(p, 2) OVER o AS next,
+      coalesce(sum(length(p)) OVER (PARTITION BY article_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start_pos
+    FROM (SELECT article_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (
+      SELECT *, regexp_extract_all(text, '\p{L}+|[^\p{L}]+') AS ps FROM doc)) WINDOW o AS (PARTITION BY article_id ORDER BY i)))
+JOIN whole_gaz ON lower(p) = name"""),
     "link": (["chunk", "mention"], """
 SELECT c.chunk_id, c.source_article_id, m.entity_id, m.position, m.end_pos FROM chunk c JOIN mention m ON m.article_id = c.source_article_id
 WHERE c.chunk_type = 'article_summary' OR (m.start_pos < c.char_end AND m.end_pos > c.char_start)"""),

@@ -48,6 +48,12 @@ def extract_mentions(spark, sf):
     return ints(st.mentions(spark, sf).select(*MENTION_COLUMNS), *PLACE)
 
 
+@register("extract_mentions_whole", sql("SELECT * FROM whole_mention", "whole_mention"))
+def extract_mentions_whole(spark, sf):
+    """With every word of the documents and two-word names as gazetteer; nearly every word is a mention."""
+    return ints(st.whole_mentions(spark, sf).select(*MENTION_COLUMNS), *PLACE)
+
+
 @register("mention_types", sql("""
 SELECT article_id, position, entity_type, 'x' AS found FROM mention WHERE length(source_text) % 3 > 0""".replace("'x' AS found", "source_text AS found"), "mention"))
 def mention_types(spark, sf):

@@ -96,6 +96,20 @@ def mentions(spark: SparkSession, sf: str) -> DataFrame:
     return extract_mentions(articles(spark, sf), gazetteer(spark, sf), max_words=1)
 
 
+def whole_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
+    """Every word of the documents, and the first two words of each line where one blank parts them."""
+    docs = documents(spark, sf)
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))).alias("name"))
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
+    pairs = lines.select(F.lower(F.regexp_extract("line", r"^\P{L}*(\p{L}+ \p{L}+)", 1)).alias("name")).filter("name <> ''")
+    types = F.array(*[F.lit(t) for t in ENTITY_TYPES])
+    return words.union(pairs).distinct().select("name", F.get(types, F.length("name") % 10).alias("entity_type"))
+
+
+def whole_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_mentions(articles(spark, sf), whole_gazetteer(spark, sf))
+
+
 def raw_relationships(found: DataFrame) -> DataFrame:
     """Neighbouring mentions at most 40 characters apart. Some classes are unknown, some targets are
     missing and some name nothing, as raw extractions do."""
