@@ -93,7 +93,7 @@ UNION ALL SELECT 1, chapter_number, '- **Chapter ' || chapter_number || '**: ' |
 UNION ALL SELECT 2, 0, unnest(['', '---', '']) UNION ALL SELECT 4, 0, unnest(['# Glossary', ''])
 UNION ALL SELECT 5, seq, unnest(['**' || term || '**: ' || definition, '']) FROM term""", "doc", "chap", "term"))
 def book_lines(spark, sf):
-    """Without the header, which holds today's date."""
+    """Without the header, which holds today's date; ``book_lines_whole`` has it."""
     lines = wr.book_lines(st.articles(spark, sf), st.chapters(spark, sf), st.glossary(spark, sf), TITLE, "Example")
     return lines.filter("k1 > 0").select("k1", "k2", "line")
 
@@ -111,7 +111,7 @@ UNION ALL SELECT 61, 'MATCH (a:Article {{article_id: ''' || article_id || '''}})
 UNION ALL SELECT 71, 'MATCH (s:Entity {{entity_id: ''' || source_entity_id || '''}})' || chr(10) || 'MATCH (t:Entity {{entity_id: ''' || target_entity_id || '''}})' || chr(10) || 'CREATE (s)-[:' || relationship_type || ' {{confidence: 1.0, evidence: ''' || source_text || '''}}]->(t);' FROM relation""",
     "chap", "doc", "entity", "term", "mention", "relation"))
 def graph_statements(spark, sf):
-    """Node and edge statements; headings and the article nodes, whose summaries differ by source, are left to the tests."""
+    """Node and edge statements; ``graph_statements_whole`` also has headings and article nodes."""
     found = written(st.mentions(spark, sf))
     rels = rl.collect_relationships(rl.resolve_relationships(st.raw_relationships(found), found))
     arts = st.articles(spark, sf).select("article_id", "title", "url", F.lit("").alias("summary"), "word_count", "chapter_number")
@@ -135,7 +135,7 @@ def chunk_statements(spark, sf):
 @register("export_all", sql("""
 SELECT 'nodes_glossary' AS name, count(*) AS n FROM term UNION ALL SELECT 'rels_semantic', count(*) FROM relation UNION ALL SELECT 'chunks', count(*) FROM chunk""", "term", "relation", "chunk"))
 def export_all(spark, sf):
-    """Node and edge files and chunk records, read back and counted."""
+    """Two graph files and chunk records, read back and counted; ``export_all_files`` writes every file."""
     from pageloom.plans.guide import export_chunks, export_graph
 
     out = folder(spark)

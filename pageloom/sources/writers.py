@@ -118,14 +118,16 @@ def write_guide_json(articles, chapters, glossary, metadata, path: str) -> str:
 # ---- Markdown book -------------------------------------------------------------------------------
 
 
-def book_lines(articles: DataFrame, chapters: DataFrame, glossary: DataFrame, title: str, publisher: str) -> DataFrame:
+def book_lines(
+    articles: DataFrame, chapters: DataFrame, glossary: DataFrame, title: str, publisher: str, scraped: str | None = None
+) -> DataFrame:
     """Header, contents, chapters with their articles, glossary. An article's text is one line entry,
-    its webinars, related links and videos follow it."""
+    its webinars, related links and videos follow it. ``scraped`` is the date in the header, today if not given."""
     spark = articles.sparkSession
     n, m = F.col("chapter_number"), F.col("article_number")
     head = spark.range(1).select(F.posexplode(F.array(
         F.lit(f"# {title}"), F.lit(""), F.lit(f"*Published by {publisher}*"),
-        F.concat(F.lit("*Scraped on "), F.date_format(F.current_timestamp(), "yyyy-MM-dd"), F.lit("*")),
+        F.concat(F.lit("*Scraped on "), F.lit(scraped) if scraped else F.date_format(F.current_timestamp(), "yyyy-MM-dd"), F.lit("*")),
         F.lit(""), F.lit("---"), F.lit(""), F.lit("## Table of Contents"), F.lit(""))).alias("i", "t"))
     listed = articles.filter("article_number > 0")
     heading = F.when(m == 0, F.lit("## Overview")).otherwise(F.concat(F.lit("## "), m.cast("string"), F.lit(". "), F.col("title")))

@@ -3,7 +3,7 @@ from collections import Counter
 import regex
 
 from pageloom.operators.mentions import extract_mentions
-from pageloom.plans.checks import QUERIES
+from __spark_entry__ import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
