@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, jaccard, leaks, packing, quotes, substrings, topk, toxicity, urls, warc
+from pageloom.llm import bpe, jaccard, leaks, packing, phrases, quotes, substrings, topk, toxicity, urls, warc
 from pageloom.llm.common import table
 from pageloom.session import shared_path
 
@@ -187,3 +187,36 @@ ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000, share=80)
+
+
+ORACLES["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+starts AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS s FROM w WHERE len(ws) > 0),
+grams AS (SELECT lang, size, array_to_string(ws[s : s + size - 1], ' ') AS phrase FROM starts, (VALUES (1), (2), (3), (4)) v(size) WHERE s + size - 1 <= len(ws)),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+cand AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE size >= 2 AND f >= 30),
+cuts AS (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1 : k], ' ')
+              JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1 : c.size], ' ')),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored),
+inner_ AS (
+  SELECT lang, array_to_string(ws[s : s + n - 1], ' ') AS phrase, max(a) AS longer
+  FROM cand, (VALUES (1, 2), (2, 2), (3, 2), (1, 3), (2, 3)) v(s, n) WHERE n < size AND s + n - 1 <= size GROUP BY ALL),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank, b.phrase, a, l, r, score
+  FROM best b LEFT JOIN inner_ i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE nth = 1 AND (longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a))
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""

@@ -55,6 +55,24 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
+    """A 64-bit hash of each span of bytes; spans come in order and do not overlap."""
+    values = _FOLDED if fold else _BYTES
+    out = np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + BLOCK, "right")))
+        low, high = int(starts[a]), int(ends[b - 1])
+        power, back = _powers(max(BLOCK, high - low) + 1)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(values[data[low:high]] * power[: high - low], out=sums[1:])
+        s, e = starts[a:b] - low, ends[a:b] - low
+        # every word is brought back to power 0, so that its place does not count
+        out[a:b] = mix((sums[e] - sums[s]) * back[s] + (e - s).astype(np.uint64))
+        a = b
+    return out
+
+
 def word_hashes(column: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """``(hashes, counts)``: a 64-bit hash of every word, text after text, and each text's number of words.
 
@@ -77,19 +95,7 @@ def word_hashes(column: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.nd
     last &= solid
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     counts = np.diff(np.searchsorted(starts, offsets))
-    values = _FOLDED if fold else _BYTES
-    out = np.empty(len(starts), np.uint64)
-    a = 0
-    while a < len(starts):
-        b = max(a + 1, int(np.searchsorted(ends, starts[a] + BLOCK, "right")))
-        low, high = int(starts[a]), int(ends[b - 1])
-        power, back = _powers(max(BLOCK, high - low) + 1)
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(values[data[low:high]] * power[: high - low], out=sums[1:])
-        s, e = starts[a:b] - low, ends[a:b] - low
-        # every word is brought back to power 0, so that its place does not count
-        out[a:b] = mix((sums[e] - sums[s]) * back[s] + (e - s).astype(np.uint64))
-        a = b
+    out = span_hashes(data, starts, ends, fold)
     return out, counts
 
 
