@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import bpe, jaccard, leaks, packing, phrases, quotes, substrings, topk, toxicity, urls, warc, whitening
+from pageloom.llm import bpe, fingerprints, jaccard, leaks, packing, phrases, quotes, substrings, topk, toxicity, urls, warc, whitening
 from pageloom.llm.common import table
 from pageloom.session import shared_path
 
@@ -226,3 +226,8 @@ SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranke
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings"), most=16, scale=64, shift=1_000_000)
     return found.withColumn("deviation", F.col("deviation").try_cast("long")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
