@@ -2,7 +2,8 @@
 
 The count of a piece is its number of byte symbols minus the number of merges. A heap holds the adjacent
 pairs by rank, linked lists hold the neighbours, and no token identifier is ever made. Rules for cutting
-a text into pieces and the merge ranks come from a tokenizer file whose path is a parameter.
+a text into pieces and the merge ranks come from a tokenizer file whose path is a parameter; a file with
+other cutting rules than the byte-level ones below is refused.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.common import Memo, hold_alone
+from pageloom.llm.words import slices
 
 #: Fixed value of byte-level tokenizers: how a text falls into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -41,12 +43,24 @@ BITS = 24
 SYMBOL = (1 << BITS) - 1
 
 
+def byte_level(path: str) -> dict:
+    """The content of a tokenizer file, if it cuts texts as this package does: byte-level pieces by the standard
+    pattern, no normaliser, and no marks at the ends of words."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    cuts, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = cuts.get("type") == "ByteLevel" and cuts.get("use_regex", True) and not cuts.get("add_prefix_space")
+    odd = [k for k in ("continuing_subword_prefix", "end_of_word_suffix", "dropout", "ignore_merges") if model.get(k)]
+    if model.get("type", "BPE") != "BPE" or spec.get("normalizer") or not plain or odd:
+        raise ValueError(f"{path} is no byte-level pair tokenizer with the standard cutting rules")
+    return spec
+
+
 class MergeCounter:
     """Counts tokens of texts; one for each Python worker and tokenizer file."""
 
-    def __init__(self, path: str, memo: int = 1_000_000):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, path: str, memo: int = 64 << 20):
+        spec = byte_level(path)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         number = {symbol: b for b, symbol in enumerate(byte_symbols())}
         for rank, (a, b) in enumerate(pairs):
@@ -130,14 +144,15 @@ def token_counts(
 
     ``tokenizer`` is the path of a byte-level ``.json`` tokenizer, readable on every executor. A null text
     counts as empty: 0 bytes, 0 tokens. Null ids and repeated rows stay. Other columns are not read. An
-    empty table gives an empty result. A special string of the tokenizer inside a text is one token."""
+    empty table gives an empty result. A text of any length is counted whole, texts of some MB one at a time. A special string of the tokenizer inside a text is one token."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold_alone("bpe", counter.cache_clear)
         tokens = counter(tokenizer).count
         for batch in batches:
-            counts = pa.array([tokens(t) if t else 0 for t in batch.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), counts], ["id", "n_bytes", "n_tokens"])
+            for part in slices(batch, 1):
+                counts = pa.array([tokens(t) if t else 0 for t in part.column(1).to_pylist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), counts], ["id", "n_bytes", "n_tokens"])
 
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"),

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable
+from sys import getsizeof
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word of the token-free operators: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes that an entry of a dictionary takes beside its key and value.
+SLOT = 104
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -35,18 +38,26 @@ def hold_alone(name: str, clear: Callable[[], None]) -> None:
 
 
 class Memo(dict):
-    """A function's results by argument, emptied when it holds ``size`` of them: it saves work only.
+    """A function's results by argument, in two generations of about ``room`` bytes each: it saves work only.
 
-    Arguments longer than ``longest`` are computed each time, so that a few huge ones cannot fill it."""
+    When the young generation is full it becomes the old one, whose entries come back when they are asked for
+    again; so common arguments stay and rare ones go. Arguments longer than ``longest`` are computed each time."""
 
-    def __init__(self, fn: Callable, size: int, longest: int = 64):
+    def __init__(self, fn: Callable, room: int, longest: int = 64):
         super().__init__()
-        self.fn, self.size, self.longest = fn, size, longest
+        self.fn, self.room, self.longest = fn, room, longest
+        self.old: dict = {}
+        self.held = 0
 
     def __missing__(self, key):
-        value = self.fn(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.fn(key)
         if len(key) <= self.longest:
-            if len(self) >= self.size:
+            self.held += getsizeof(key) + getsizeof(value) + SLOT
+            if self.held > self.room:
+                self.old = dict(self)
                 self.clear()
+                self.held = getsizeof(key) + getsizeof(value) + SLOT
             self[key] = value
         return value

@@ -13,6 +13,7 @@ more at every node of the search. Only the number of nodes bounds it.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
 from array import array
@@ -21,14 +22,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.bpe import OTHER_SPACE, PARTS
-from pageloom.llm.common import hold_alone
+from pageloom.llm.bpe import PIECES, byte_level, byte_symbols
+from pageloom.llm.common import Memo, hold_alone
 from pageloom.llm.words import slices
 from pageloom.session import written
 
+#: Blanks and line feeds that do not stand alone between two words.
+UNEVEN = r"[ \n][ \n]|\A[ \n]|[ \n]\z"
+#: Anything else that some library takes for white space.
+OTHER_BLANK = r"[\t\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+
 #: (lengths of one sequence as (length, times) pairs, number of such sequences)
 Pattern = tuple[tuple[tuple[int, int], ...], int]
 
@@ -36,69 +44,57 @@ Pattern = tuple[tuple[tuple[int, int], ...], int]
 class Encoder:
     """Token ids of texts as little-endian 32-bit numbers; one for each Python worker and tokenizer file.
 
-    The ids are the library's. Parts of a text that the tokenizer always takes apart are kept by value."""
+    The ids are the library's. A text whose white space is single blanks and line feeds is taken apart at it, as
+    the tokenizer does; each part falls into pieces, whose ids the library's model gives, and parts are kept by
+    value. Any other text is encoded by the library as it is."""
 
-    def __init__(self, path: str, memo: int = 1_000_000, longest: int = 64):
+    def __init__(self, path: str, memo: int = 80 << 20, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        byte_level(path)
         self.tokenizer = Tokenizer.from_file(path)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo, self.longest, self.known = memo, longest, {}
+        self.model = self.tokenizer.model
+        self.pieces = regex.compile(PIECES)
+        self.symbols = dict(enumerate(byte_symbols()))
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([OTHER_BLANK, UNEVEN, *map(re.escape, specials)])
+        #: words by value: one that a blank or line feed comes before, and one that begins a text
+        self.inner = Memo(self.ids_after_space, memo, longest)
+        self.first = Memo(self.ids_of_part, memo >> 3, longest)
+        self.stops = {c: self.ids_of_part(c) for c in ".,"}
         assert sys.byteorder == "little" and array("I").itemsize == 4
 
-    def _unknown(self, parts: list[list[str]]) -> set[str]:
-        return set().union(*parts).difference(self.known)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [PARTS.findall(t) for t in texts]
-        new = self._unknown(parts)
-        if len(self.known) + len(new) > self.memo:
-            self.known.clear()
-            new = self._unknown(parts)
-        # parts that may not be cut so are never kept, so only new ones can be such; their texts stay whole
-        odd = {p for p in new if OTHER_SPACE.search(p) or any(s in p for s in self.specials)}
-        spaced = [s for s in self.specials if " " in s or "\n" in s]
-        if odd or spaced:
-            parts = [None if not odd.isdisjoint(part) or any(s in t for s in spaced) else part for part, t in zip(parts, texts)]
-            new -= odd
-        cores = {w: _core(w) for w in new}
-        fresh: dict[str, bytes] = {}
-        wanted = sorted({piece for pieces in cores.values() for piece in pieces if piece not in self.known})
-        for several in _chunks(wanted, 10_000):
-            for p, got in zip(several, self.tokenizer.encode_batch_fast(several, add_special_tokens=False)):
-                (self.known if len(p) <= self.longest else fresh)[p] = array("I", got.ids).tobytes()
-        for w, pieces in cores.items():
-            if len(pieces) > 1:
-                ids = b"".join(fresh[p] if p in fresh else self.known[p] for p in pieces)
-                (self.known if len(w) <= self.longest else fresh)[w] = ids
-        known = self.known
+    def ids_of_piece(self, piece: str) -> bytes:
+        symbols = piece.encode("utf-8").decode("latin-1").translate(self.symbols)
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
+    def ids_of_part(self, part: str) -> bytes:
+        return b"".join(map(self.ids_of_piece, self.pieces.findall(part)))
+
+    def ids_after_space(self, word: str) -> bytes:
+        if word.isalpha():
+            return self.ids_of_piece(" " + word)
+        if word[0] == "\n":
+            return self.ids_of_part(word)
+        # a comma or full stop after letters is a piece of its own
+        if word[-1] in self.stops and word[:-1].isalpha():
+            return self.inner[word[:-1]] + self.stops[word[-1]]
+        return self.ids_of_part(" " + word)
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        column = pa.compute.fill_null(column, "")
         out = []
-        for text, part in zip(texts, parts):
-            if part is None:
+        for text, odd in zip(column.to_pylist(), pa.compute.match_substring_regex(column, self.odd).to_pylist()):
+            if not text or odd:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4"))
-            elif fresh:
-                out.append(np.frombuffer(b"".join(fresh[p] if p in fresh else known[p] for p in part), "<u4"))
             else:
-                out.append(np.frombuffer(b"".join(map(known.__getitem__, part)), "<u4"))
+                head, *words = text.replace("\n", " \n").split(" ")
+                out.append(np.frombuffer(self.first[head] + b"".join(map(self.inner.__getitem__, words)), "<u4"))
         return out
 
 
-def _core(part: str) -> tuple[str, ...]:
-    """A part cut once more where tokenizers of this kind always cut: after a single line feed before a word,
-    and before a comma or full stop that ends the part after a letter or number."""
-    head = ("\n",) if part[0] == "\n" and part[1:2] not in ("", " ", "\n") else ()
-    word = part[len(head) :]
-    if word[-1] in ".," and word[-2:-1].isalnum():
-        return (*head, word[:-1], word[-1])
-    return (*head, word)
-
-
-def _chunks(items: list, size: int) -> Iterator[list]:
-    for a in range(0, len(items), size):
-        yield items[a : a + size]
-
-
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -113,7 +109,7 @@ def cut_into_pieces(path: str, capacity: int, end_id: int):
             for part in slices(batch, 1):
                 rows: list[tuple] = []
                 close = np.array([end_id], "<u4")
-                for i, ids in enumerate(encoder(path).encode([t or "" for t in part.column(1).to_pylist()])):
+                for i, ids in enumerate(encoder(path).encode(part.column(1))):
                     ids = np.concatenate([ids, close])
                     first = len(ids) % capacity or capacity
                     cuts = [0, *range(first, len(ids) + 1, capacity)]
