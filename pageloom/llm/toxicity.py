@@ -15,13 +15,14 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import hold_alone
+from pageloom.llm.common import SLOT, hold_alone
 from pageloom.llm.words import slices
 
 DECAY = 0.6
@@ -141,24 +142,37 @@ class Model:
 
 
 class Reader:
-    """Texts to sentence vectors at the landmarks. Words are remembered by value, up to a number of them."""
+    """Texts to sentence vectors at the landmarks. Words are remembered by value, in two generations of about
+    ``room`` bytes each: a full young one becomes the old one, and what is asked for again comes back from it."""
 
-    def __init__(self, landmarks: np.ndarray, memo: int = 500_000):
-        self.landmarks, self.memo = landmarks, memo
+    def __init__(self, landmarks: np.ndarray, room: int = 48 << 20):
+        self.landmarks, self.room = landmarks, room
         self.near: dict[str, np.ndarray | None] = {}
+        self.old: dict[str, np.ndarray | None] = {}
+        self.held = 0
+
+    def keep(self, word: str, value: np.ndarray | None) -> None:
+        self.near[word] = value
+        self.held += getsizeof(word) + SLOT + (0 if value is None else getsizeof(value))
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.near]
-        if len(self.near) + len(new) > self.memo:
-            self.near.clear()
-            new = list(words)
-        for a in range(0, len(new), 50_000):
-            some = new[a : a + 50_000]
+        if self.held > self.room:
+            self.old, self.near, self.held = self.near, {}, 0
+        new = []
+        for w in words:
+            if w in self.near:
+                continue
+            if w in self.old:
+                self.keep(w, self.old[w])
+            else:
+                new.append(w)
+        for a in range(0, len(new), 20_000):
+            some = new[a : a + 20_000]
             values = similarities(some, self.landmarks)
             close = values.max(1) >= NEAR
-            self.near.update(dict.fromkeys(some))
-            for i in np.flatnonzero(close).tolist():
-                self.near[some[i]] = values[i]
+            for i, word in enumerate(some):
+                # a copy, as a view would keep the values of all these words
+                self.keep(word, values[i].copy() if close[i] else None)
 
     def sentences(self, texts: list[str]) -> list[np.ndarray]:
         """For each text the vectors of its sentences that have a word near a landmark; all others are zero."""
