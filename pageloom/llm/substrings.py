@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.llm.words import mix, places, slices, windows, word_hashes
 
@@ -28,6 +29,8 @@ PERIOD = 13
 #: A difference cover of the period: every residue is a difference of two of these.
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
+#: Parts that the copies of one text meet in.
+PARTS = 16
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -191,7 +194,7 @@ def covered(n: int, starts: np.ndarray) -> np.ndarray:
 
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(id, text, copy, marks)`` to ``(id, text, n_words, n_removed, kept)``."""
+    """``(id, text, copy, marks, row)`` to ``(id, text, n_words, n_removed, kept, row)``."""
     for batch in batches:
         for part in slices(batch, 1):
             hashes, counts = word_hashes(part.column(1))
@@ -217,12 +220,13 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     words = [w for w, g in zip(words, gone.tolist()) if not g]
                 kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(counts), pa.array(removed), pa.array(kept, pa.string())],
-                ["id", "text", "n_words", "n_removed", "kept"])
+                [part.column(0), part.column(1), pa.array(counts), pa.array(removed), pa.array(kept, pa.string()), part.column(4)],
+                ["id", "text", "n_words", "n_removed", "kept", "row"])
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, text, n_words, n_removed, kept)``: every row of ``docs`` without the words of repeated windows.
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, text, n_words, n_removed, kept, row)``: every row of ``docs`` without the words of repeated windows;
+    ``row`` holds the columns to ``carry`` along, and there is none without such columns.
 
     A word goes when a window of 20 words covers it whose words also start earlier: in a document with a
     smaller id, or in the same document at an earlier start. Windows are judged on the input. ``kept`` is
@@ -231,34 +235,42 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A null text has no words. Texts of fewer than 20 words stay whole. Rows with a null id keep all their
     words and make no other place later. Rows that share an id are one document: equal places of it are
     not earlier than each other, so an exactly repeated row keeps what the first one keeps. Other columns
-    of ``docs`` are not read. An empty table gives an empty result. Ids are integers.
+    of ``docs`` are not read. An empty table gives an empty result. Ids are integers. Texts and windows count as
+    equal by hashes of 128 and 96 bits.
 
     Shuffles: the texts once, by id (the three passes over them share it); one row of about 20 bytes for
     each anchor; one row for each window around a repeated anchor. Both row streams are sorted and read
     as streams, so no group of equals is held in memory."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # the three passes start from the same rows, so that Spark shuffles the texts once
+    other = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), other.alias("row"))
+    # the three passes start from the same rows, carried columns too, so that Spark shuffles the texts once
     full = rows.where("id is not null and text is not null")
-    prints = full.select("id", F.md5("text").alias("print"))
-    firsts = prints.groupBy("print").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    copies = prints.join(firsts, "print").where("id > first").groupBy("id").agg(F.collect_set("print").alias("copies"))
+    # the many copies of one text meet its smallest id in parts
+    prints = full.select("id", F.md5("text").alias("print"), F.pmod(F.xxhash64("id"), F.lit(PARTS)).alias("part"))
+    firsts = prints.groupBy("print").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    copies = prints.join(firsts, ["print", "part"]).where("id > first").groupBy("id").agg(F.collect_set("print").alias("copies"))
     known = F.coalesce(F.array_contains("copies", F.md5("text")), F.lit(False))
     told = full.join(copies.hint("shuffle_hash"), "id", "left")
-    fresh = told.where(~known).select("id", "text")
+    fresh = told.where(~known).select("id", "text", "row")
 
     anchors = fresh.mapInArrow(find_anchors, "key long, id long, place int")
     again = anchors.repartition("key").sortWithinPartitions("key").mapInArrow(repeated, "id long, place int")
     spots = again.groupBy("id").agg(F.collect_list("place").alias("spots"))
 
-    seen = fresh.join(spots.hint("shuffle_hash"), "id").select("id", "text", "spots")
+    seen = fresh.join(spots.hint("shuffle_hash"), "id").select("id", "text", "spots", "row")
     found = seen.mapInArrow(find_windows, "low long, high int, id long, place int")
     later = found.repartition("low").sortWithinPartitions("low", "high", "id", "place").mapInArrow(later_windows, "id long, mark long")
     marks = later.groupBy("id").agg(F.collect_list("mark").alias("marks"))
 
-    judged = told.withColumn("copy", known).join(marks.hint("shuffle_hash"), "id", "left").select("id", "text", "copy", "marks")
-    others = rows.where("id is null or text is null").select("id", "text", F.lit(False).alias("copy"), F.lit(None).cast("array<long>").alias("marks"))
-    result = "id long, text string, n_words long, n_removed long, kept string"
-    return judged.mapInArrow(cut, result).union(others.mapInArrow(cut, result))
+    judged = told.withColumn("copy", known).join(marks.hint("shuffle_hash"), "id", "left").select("id", "text", "copy", "marks", "row")
+    others = rows.where("id is null or text is null").select(
+        "id", "text", F.lit(False).alias("copy"), F.lit(None).cast("array<long>").alias("marks"), "row")
+    result = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "n_words", "n_removed")] + [T.StructField(c, T.StringType()) for c in ("text", "kept")] + [
+        rows.schema["row"]])
+    result = T.StructType([result[c] for c in ("id", "text", "n_words", "n_removed", "kept", "row")])
+    made = judged.mapInArrow(cut, result).union(others.mapInArrow(cut, result))
+    return made if carry else made.drop("row")
 
 
 def brute_force(rows: list[tuple[int, str | None]]) -> list[tuple[int, int, int, str]]:
