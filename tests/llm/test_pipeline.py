@@ -84,3 +84,10 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, SF))
     assert docs.count() == 0
+
+
+def test_rows_of_one_text_keep_their_columns(spark):
+    rows = [(1, "same text", "en", "a", 9), (1, "same text", "de", "b", 9), (2, "w " * 30, "fr", "c", 60), (3, "w " * 30, "es", None, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.lang, r.source) for r in corpus_pipeline.substring_dedup(spark, docs, SF).collect()), key=repr)
+    assert got == sorted(((i, lang, source) for i, _, lang, source, _ in rows), key=repr)
