@@ -32,17 +32,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of windows of 20 that occur earlier go. A text that loses words becomes its kept words joined by
-    blanks, a document without any left keeps an empty text, and all other texts stay as they are. Where rows
-    agree in id and text but not in the other columns, each gets the smallest of these."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = dedup_substrings(docs).withColumn("print", F.md5("text")).withColumnRenamed("text", "before")
-    rows = docs.select(F.col("doc_id").alias("key"), F.md5("text").alias("key_print"), F.struct("doc_id", *others).alias("row"))
-    rest = rows.groupBy("key", "key_print").agg(F.min("row").alias("row"))
-    joined = found.join(rest, F.col("id").eqNullSafe(F.col("key")) & F.col("print").eqNullSafe(F.col("key_print")))
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("before"))
-    changed = {"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in others else {}
-    return joined.select(*[text.alias(c) if c == "text" else F.when(F.col("n_removed") > 0, changed[c]).otherwise(F.col("row")[c]).alias(c)
-                           if c in changed else F.col("row")[c].alias(c) for c in docs.columns])
+    blanks, a document without any left keeps an empty text, and all other texts stay as they are. All other
+    columns stay with their row; ``n_chars`` follows the text."""
+    others = tuple(c for c in docs.columns if c != "text")
+    found = dedup_substrings(docs, carry=others)
+    less = F.col("n_removed") > 0
+
+    def column(name: str):
+        if name == "text":
+            return F.when(less, F.col("kept")).otherwise(F.col("text"))
+        if name == "n_chars":
+            return F.when(less, F.length("kept").cast(docs.schema[name].dataType)).otherwise(F.col("row")[name])
+        return F.col("row")[name]
+
+    return found.select(*[column(c).alias(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
