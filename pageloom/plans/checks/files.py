@@ -12,9 +12,9 @@ from pageloom.operators import graph as gr
 from pageloom.operators import relations as rl
 from pageloom.operators.dom import parse_pages
 from pageloom.operators.extract import columns, title
-from pageloom.operators.mentions import link_mentions, merge_entities
+from pageloom.operators.mentions import extract_mentions, link_mentions, merge_entities
 from pageloom.plans import standins as st
-from pageloom.plans.checks import register
+from pageloom.plans.checks import ORACLES, register
 from pageloom.plans.checks.ctes import sql
 from pageloom.operators.chunks import with_entity_ids
 from pageloom.plans.checks.graph import relationships
@@ -24,6 +24,7 @@ from pageloom.session import shared_dir, written
 from pageloom.sources import readers as rd
 from pageloom.sources import writers as wr
 from pageloom.streaming import incremental as inc
+from pageloom.streaming.entities import EntityState
 
 TITLE = "The Guide"
 
@@ -161,15 +162,22 @@ def _work(df):
     return df.select("article_id", "text_md5", chapter_of(F.col("article_id")).alias("chapter"))
 
 
-@register("resume_enrichment", sql("SELECT article_id, md5(text) AS text_md5, chapter_number AS chapter FROM doc", "doc"))
+@register("resume_enrichment", ORACLES["merge_entities"])
 def resume_enrichment(spark, sf):
-    """A first run over the overview articles, then one over everything, then a third that finds nothing to do."""
-    path = folder(spark) + "/state"
-    df = inc.with_fingerprint(st.articles(spark, sf), "markdown_content").select("article_id", "article_number", "text_md5")
-    inc.resume(df.filter("article_number = 0"), path, ["article_id", "text_md5"], _work, STATE)
-    for _ in range(2):
-        state = inc.resume(df, path, ["article_id", "text_md5"], _work, STATE)
-    return state
+    """Extraction and merge in three runs, and equal to one: first a third of the articles, some with another text and some
+    that are later removed; then all, some still different; then all as they are."""
+    arts, names = written(st.articles(spark, sf)), st.gazetteer(spark, sf)
+    state = EntityState(spark, folder(spark))
+    other = F.concat(F.lit("Anhaha erlyen "), F.reverse("markdown_content"))
+    early = arts.where("article_number % 3 = 0").withColumn("markdown_content", F.when(F.col("article_number") % 2 == 0, other).otherwise(F.col("markdown_content")))
+    removed = arts.where("article_number % 7 = 1").withColumn("article_id", F.concat("article_id", F.lit("-old")))
+    second = arts.withColumn("markdown_content", F.when(F.col("article_number") % 5 == 0, other).otherwise(F.col("markdown_content")))
+    for run, given in enumerate((early.unionByName(removed), second, arts)):
+        found = state.update(given, lambda some: extract_mentions(some, names, max_words=1), run)
+    df = found.select(
+        "entity_id", "entity_type", "name", "source_text", "start_pos", "end_pos", "source_article_id", "alignment_status",
+        "confidence", F.col("attributes")["matched"].alias("matched"))
+    return ints(df, "start_pos", "end_pos")
 
 
 @register("resume_embedding", sql("SELECT chunk_id, md5(text) AS text_md5, 'hashed-words' AS model_id FROM chunk", "chunk"))
