@@ -14,7 +14,7 @@ from pageloom.operators.dom import parse_pages
 from pageloom.operators.extract import columns, title
 from pageloom.operators.mentions import extract_mentions, link_mentions, merge_entities
 from pageloom.plans import standins as st
-from pageloom.plans.checks import ORACLES, register
+from pageloom.plans.checks import ORACLES, html, register  # noqa: F401  (the titles' SQL is filed by html)
 from pageloom.plans.checks.ctes import sql
 from pageloom.operators.chunks import with_entity_ids
 from pageloom.plans.checks.graph import relationships
@@ -204,15 +204,20 @@ def reset_state(spark, sf):
     return inc.read_state_table(spark, path, STATE).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("stream_pages", r"SELECT page_id, url FROM pages WHERE html IS NOT NULL")
+@register("stream_pages", ORACLES["page_titles"].replace("SELECT page_id,", "SELECT page_id, url,", 1) + " WHERE html IS NOT NULL")
 def stream_pages(spark, sf):
-    """The page table as a stream, run twice over the same state: the second run adds nothing."""
+    """The page table as a stream of several micro-batches, the second and third with pages of the ones before again; a second
+    run over the same state adds nothing."""
     out = folder(spark)
-    source = spark.readStream.schema("page_id long, url string, html string").option("pathGlobFilter", "pages.parquet").parquet(sf)
+    pages = st.table(spark, sf, "pages").select("page_id", "url", "html")
+    for k, part in enumerate(("page_id % 3 = 0", "page_id % 3 < 2", "true")):
+        pages.where(part).write.parquet(f"{out}/pages/part={k}")
+    source = spark.readStream.schema("page_id long, url string, html string").option("maxFilesPerTrigger", 8).option(
+        "recursiveFileLookup", True).parquet(f"{out}/pages")
 
     def work(df):
         return columns(parse_pages(df), title=title(st.SITE)).select("page_id", "url", "title")
 
     for _ in range(2):
-        inc.run_stream(source, ["page_id"], work, f"{out}/articles", f"{out}/checkpoint", "page_id long, url string, title string")
-    return spark.read.parquet(f"{out}/articles").select("page_id", "url")
+        inc.run_stream(source, ["page_id"], work, f"{out}/articles", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/articles").select("page_id", "url", "title")
