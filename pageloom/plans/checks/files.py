@@ -9,15 +9,13 @@ from pyspark.sql import functions as F
 from pageloom.functions.text import chapter_of
 from pageloom.functions.urls import fix_typos
 from pageloom.operators import graph as gr
-from pageloom.operators import relations as rl
 from pageloom.operators.dom import parse_pages
 from pageloom.operators.extract import columns, title
-from pageloom.operators.mentions import extract_mentions, link_mentions, merge_entities
+from pageloom.operators.mentions import extract_mentions
 from pageloom.plans import standins as st
 from pageloom.plans.checks import ORACLES, html, register  # noqa: F401  (the titles' SQL is filed by html)
 from pageloom.plans.checks.ctes import sql
-from pageloom.operators.chunks import with_entity_ids
-from pageloom.plans.checks.graph import relationships
+from pageloom.plans.checks import graph  # noqa: F401  (files the SQL of merged entities)
 from pageloom.plans.checks.lookup import embedded
 from pageloom.plans.checks.text import chunks, ints
 from pageloom.session import shared_dir, written
@@ -87,22 +85,19 @@ def guide_json_lines(spark, sf):
     return lines.select("k1", "k2", "line")
 
 
-@register("book_lines", sql("""
+#: The lines of the book below its header.
+BOOK_SQL = sql("""
 SELECT 3 AS k1, chapter_number AS k2, '# Chapter ' || chapter_number || ': ' || title AS line FROM chap UNION ALL SELECT 3, chapter_number, '' FROM chap
 UNION ALL SELECT 3, chapter_number, unnest([CASE WHEN article_number = 0 THEN '## Overview' ELSE '## ' || article_number || '. ' || title END, '', '*Source: ' || url || '*', '', text, '', '---', '']) FROM doc
 UNION ALL SELECT 1, chapter_number, '- **Chapter ' || chapter_number || '**: ' || title FROM chap UNION ALL SELECT 1, chapter_number, '  - ' || title FROM doc WHERE article_number > 0
 UNION ALL SELECT 2, 0, unnest(['', '---', '']) UNION ALL SELECT 4, 0, unnest(['# Glossary', ''])
-UNION ALL SELECT 5, seq, unnest(['**' || term || '**: ' || definition, '']) FROM term""", "doc", "chap", "term"))
-def book_lines(spark, sf):
-    """Without the header, which holds today's date; ``book_lines_whole`` has it."""
-    lines = wr.book_lines(st.articles(spark, sf), st.chapters(spark, sf), st.glossary(spark, sf), TITLE, "Example")
-    return lines.filter("k1 > 0").select("k1", "k2", "line")
-
+UNION ALL SELECT 5, seq, unnest(['**' || term || '**: ' || definition, '']) FROM term""", "doc", "chap", "term")
 
 _ESC = "replace(replace(replace({}, '\\', '\\\\'), '''', '\\'''), chr(10), ' ')"
 
 
-@register("graph_statements", sql(f"""
+#: Node and edge statements without article nodes and headings.
+GRAPH_SQL = sql(f"""
 SELECT 11 AS k1, 'CREATE (:Chapter {{chapter_number: ' || chapter_number || ', title: ''' || {_ESC.format("title")} || ''', url: ''' || overview_url || '''}});' AS line FROM chap
 UNION ALL SELECT 31, 'CREATE (:Entity:' || upper(left(replace(entity_type, '_', ''), 1)) || substr(replace(entity_type, '_', ''), 2) || ' {{entity_id: ''' || entity_id || ''', name: ''' || name || ''', entity_type: ''' || entity_type
   || ''', source_text: ''' || source_text || ''', source_article_id: ''' || source_article_id || ''', confidence: ' || confidence || ', matched: ''' || matched || '''}});' FROM entity
@@ -110,42 +105,15 @@ UNION ALL SELECT 41, 'CREATE (:GlossaryTerm {{term: ''' || term || ''', definiti
 UNION ALL SELECT 51, 'MATCH (c:Chapter {{chapter_number: ' || chapter_number || '}})' || chr(10) || 'MATCH (a:Article {{article_id: ''' || article_id || '''}})' || chr(10) || 'CREATE (c)-[:CONTAINS]->(a);' FROM doc
 UNION ALL SELECT 61, 'MATCH (a:Article {{article_id: ''' || article_id || '''}})' || chr(10) || 'MATCH (e:Entity {{entity_id: ''' || entity_id || '''}})' || chr(10) || 'CREATE (a)-[:MENTIONS {{confidence: ' || confidence || '}}]->(e);' FROM mention
 UNION ALL SELECT 71, 'MATCH (s:Entity {{entity_id: ''' || source_entity_id || '''}})' || chr(10) || 'MATCH (t:Entity {{entity_id: ''' || target_entity_id || '''}})' || chr(10) || 'CREATE (s)-[:' || relationship_type || ' {{confidence: 1.0, evidence: ''' || source_text || '''}}]->(t);' FROM relation""",
-    "chap", "doc", "entity", "term", "mention", "relation"))
-def graph_statements(spark, sf):
-    """Node and edge statements; ``graph_statements_whole`` also has headings and article nodes."""
-    found = written(st.mentions(spark, sf))
-    rels = rl.collect_relationships(rl.resolve_relationships(st.raw_relationships(found), found))
-    arts = st.articles(spark, sf).select("article_id", "title", "url", F.lit("").alias("summary"), "word_count", "chapter_number")
-    lines = wr.graph_statements(st.chapters(spark, sf), arts, merge_entities(found), st.glossary(spark, sf), found, rels)
-    return lines.filter(F.col("k1").isin(11, 31, 41, 51, 61, 71)).select("k1", "line")
-
+    "chap", "doc", "entity", "term", "mention", "relation")
 
-@register("chunk_statements", sql(f"""
+#: Chunk statements without headings.
+CHUNK_SQL = sql(f"""
 SELECT 1 AS k1, 'CREATE (:Chunk {{chunk_id: ''' || chunk_id || ''', chunk_type: ''' || chunk_type || ''', source_article_id: ''' || source_article_id || ''', heading: ''' || {_ESC.format("heading").replace("' ')", "chr(92) || 'n')")}
   || ''', chapter_number: ' || chapter_number || ', token_count: ' || token_count || ', word_count: ' || word_count || ', char_start: ' || char_start || ', char_end: ' || char_end || ', entity_count: ' || coalesce(n, 0) || '}});' AS line
 FROM chunk LEFT JOIN (SELECT chunk_id, count(*) AS n FROM link GROUP BY 1) USING (chunk_id)
 UNION ALL SELECT 3, 'MATCH (a:Article {{article_id: ''' || source_article_id || '''}})' || chr(10) || 'MATCH (c:Chunk {{chunk_id: ''' || chunk_id || '''}})' || chr(10) || 'CREATE (a)-[:HAS_CHUNK]->(c);' FROM chunk
-UNION ALL SELECT 5, 'MATCH (c:Chunk {{chunk_id: ''' || chunk_id || '''}})' || chr(10) || 'MATCH (e:Entity {{entity_id: ''' || entity_id || '''}})' || chr(10) || 'CREATE (c)-[:MENTIONS_ENTITY]->(e);' FROM link""", "chunk", "link"))
-def chunk_statements(spark, sf):
-    df = written(chunks(spark, sf))
-    links = written(link_mentions(df, st.mentions(spark, sf)))
-    lines = wr.chunk_statements(with_entity_ids(df, links), links)
-    return lines.filter(F.col("k1").isin(1, 3, 5)).select("k1", "line")
-
-
-@register("export_all", sql("""
-SELECT 'nodes_glossary' AS name, count(*) AS n FROM term UNION ALL SELECT 'rels_semantic', count(*) FROM relation UNION ALL SELECT 'chunks', count(*) FROM chunk""", "term", "relation", "chunk"))
-def export_all(spark, sf):
-    """Two graph files and chunk records, read back and counted; ``export_all_files`` writes every file."""
-    from pageloom.plans.guide import export_chunks, export_graph
-
-    out = folder(spark)
-    paths = export_graph({"nodes_glossary": gr.glossary_nodes(st.glossary(spark, sf)),
-                          "rels_semantic": gr.semantic_edges(rl.collect_relationships(relationships(spark, sf)))}, out)
-    paths.update(export_chunks(chunks(spark, sf).withColumn("entity_ids", F.array().cast("array<string>")).withColumn("entity_count", F.lit(0)), out))
-    csv = [rd.read_graph_csv(spark, paths[n]).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n in ("nodes_glossary", "rels_semantic")]
-    records = spark.read.schema("chunk_id string").json(paths["chunks"]).agg(F.count(F.lit(1)).alias("n")).select(F.lit("chunks").alias("name"), "n")
-    return csv[0].unionByName(csv[1]).unionByName(records)
+UNION ALL SELECT 5, 'MATCH (c:Chunk {{chunk_id: ''' || chunk_id || '''}})' || chr(10) || 'MATCH (e:Entity {{entity_id: ''' || entity_id || '''}})' || chr(10) || 'CREATE (c)-[:MENTIONS_ENTITY]->(e);' FROM link""", "chunk", "link")
 
 
 @register("url_typos", "SELECT page_id, replace(url, 'example.net', 'example.org') AS url FROM pages")

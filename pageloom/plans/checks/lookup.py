@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pageloom.operators import search as se
+from pageloom.operators.ranked import build_index, ranked_top_k
 from pageloom.operators import vectors as ve
 from pageloom.operators.mentions import link_mentions
 from pageloom.plans import standins as st
@@ -132,3 +133,20 @@ SELECT query_id, article_id, score::BIGINT AS score, rank FROM (SELECT *, row_nu
 def text_top_k(spark, sf):
     asked = st.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return ints(se.text_top_k(st.articles(spark, sf), asked, 10, "markdown_content"), "rank")
+
+
+@register("ranked_text_top_k", sql(r"""
+SELECT query_id, article_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, article_id) AS rank FROM (
+  WITH c AS (SELECT article_id, w, count(*) AS n FROM (SELECT article_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM doc) GROUP BY 1, 2),
+  len AS (SELECT article_id, sum(n) AS len FROM c GROUP BY 1), whole AS (SELECT count(*) AS texts, sum(len)::DOUBLE / count(*) AS average FROM len),
+  df AS (SELECT w, count(*) AS df FROM c GROUP BY 1)
+  SELECT query_id, article_id, sum(floor(1000 * (n * 2.2::DOUBLE) / (n + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / average)))::BIGINT
+    * floor(1000 * ln(1 + (texts - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)))::BIGINT)::BIGINT AS score
+  FROM c JOIN len USING (article_id) JOIN df USING (w) JOIN whole ON true
+  JOIN (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM benchmark) USING (w)
+  WHERE floor(1000 * ln(1 + (texts - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))) > 0 GROUP BY 1, 2)) WHERE rank <= 10""", "doc"))
+def ranked_text_top_k(spark, sf):
+    """Weighted by rarity and length, over an inverted index of all articles; blocks below the tenth score are passed over."""
+    asked = st.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    index = build_index(st.articles(spark, sf), "article_id", "markdown_content")
+    return ints(ranked_top_k(index, asked, 10).withColumnRenamed("id", "article_id"), "rank")

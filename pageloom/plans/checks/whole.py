@@ -1,4 +1,4 @@
-"""Whole outputs of the writers, where the queries in ``files`` return or write a part."""
+"""Whole outputs of the writers: every line, and every file written, read back and counted."""
 
 from __future__ import annotations
 
@@ -10,9 +10,9 @@ from pageloom.operators.chunks import with_entity_ids
 from pageloom.operators.mentions import link_mentions, merge_entities
 from pageloom.operators.vectors import embed_chunks
 from pageloom.plans import standins as st
-from pageloom.plans.checks import ORACLES, register
+from pageloom.plans.checks import register
 from pageloom.plans.checks.ctes import sql
-from pageloom.plans.checks.files import _ESC, TITLE, folder
+from pageloom.plans.checks.files import _ESC, BOOK_SQL, CHUNK_SQL, GRAPH_SQL, TITLE, folder
 from pageloom.plans.checks.text import chunks
 from pageloom.plans.guide import export_chunks, export_graph
 from pageloom.session import written
@@ -20,21 +20,22 @@ from pageloom.sources import readers as rd
 from pageloom.sources import writers as wr
 
 
+# The constraint, index and heading lines below are those of the file format.
 def _fixed(k1: int, *lines: str) -> str:
     """Lines that are the same in every output; ``=`` alone stands for the rule."""
     texts = ["'// ' || repeat('=', 65)" if t == "=" else "'" + t.replace("'", "''") + "'" for t in lines]
     return f"\nUNION ALL SELECT {k1}, unnest([{', '.join(texts)}])"
 
 
-@register("book_lines_whole", ORACLES["book_lines"] + """
+@register("book_lines", BOOK_SQL + """
 UNION ALL SELECT 0, 0, unnest(['# The Guide', '', '*Published by Example*', '*Scraped on 2024-02-29*', '', '---', '', '## Table of Contents', ''])""")
-def book_lines_whole(spark, sf):
+def book_lines(spark, sf):
     """Every line, with a given date."""
     lines = wr.book_lines(st.articles(spark, sf), st.chapters(spark, sf), st.glossary(spark, sf), TITLE, "Example", "2024-02-29")
     return lines.select("k1", "k2", "line")
 
 
-@register("graph_statements_whole", ORACLES["graph_statements"] + f"""
+@register("graph_statements", GRAPH_SQL + f"""
 UNION ALL SELECT 21, 'CREATE (:Article {{article_id: ''' || article_id || ''', title: ''' || {_ESC.format("title")} || ''', url: ''' || url || ''', summary: '''
   || CASE WHEN lang = 'en' THEN {_ESC.format("left(string_split(text, chr(10))[1], 500)")} ELSE '' END || ''', word_count: ' || word_count || ', chapter_number: ' || chapter_number || '}});' FROM doc"""
     + _fixed(0, "=", "// CONSTRAINTS", "=", "",
@@ -51,7 +52,7 @@ UNION ALL SELECT 21, 'CREATE (:Article {{article_id: ''' || article_id || ''', t
     + _fixed(30, "", "=", "// ENTITY NODES", "=", "") + _fixed(40, "", "=", "// GLOSSARY TERM NODES", "=", "")
     + _fixed(50, "", "=", "// RELATIONSHIPS", "=", "", "// Chapter -> Article relationships")
     + _fixed(60, "", "// Article -> Entity MENTIONS relationships") + _fixed(70, "", "// Semantic Entity -> Entity relationships"))
-def graph_statements_whole(spark, sf):
+def graph_statements(spark, sf):
     """Every line; summaries are those of the enrichment."""
     found = written(st.mentions(spark, sf))
     rels = rl.collect_relationships(rl.resolve_relationships(st.raw_relationships(found), found))
@@ -60,23 +61,23 @@ def graph_statements_whole(spark, sf):
     return lines.select("k1", "line")
 
 
-@register("chunk_statements_whole", ORACLES["chunk_statements"]
+@register("chunk_statements", CHUNK_SQL
     + _fixed(0, "// Constraint for Chunk nodes", "CREATE CONSTRAINT chunk_id IF NOT EXISTS", "FOR (c:Chunk) REQUIRE c.chunk_id IS UNIQUE;", "",
              "=", "// CHUNK NODES", "=", "")
     + _fixed(2, "", "=", "// ARTICLE -> CHUNK RELATIONSHIPS", "=", "") + _fixed(4, "", "=", "// CHUNK -> ENTITY RELATIONSHIPS", "=", ""))
-def chunk_statements_whole(spark, sf):
+def chunk_statements(spark, sf):
     df = written(chunks(spark, sf))
     links = written(link_mentions(df, st.mentions(spark, sf)))
     return wr.chunk_statements(with_entity_ids(df, links), links).select("k1", "line")
 
 
-@register("export_all_files", sql("""
+@register("export_all", sql("""
 SELECT 'nodes_chapters' AS name, count(*) AS n FROM chap UNION ALL SELECT 'nodes_articles', count(*) FROM doc UNION ALL SELECT 'nodes_entities', count(*) FROM entity
 UNION ALL SELECT 'nodes_glossary', count(*) FROM term UNION ALL SELECT 'nodes_chunks', count(*) FROM chunk UNION ALL SELECT 'rels_contains', count(*) FROM doc
 UNION ALL SELECT 'rels_mentions', count(*) FROM mention UNION ALL SELECT 'rels_semantic', count(*) FROM relation UNION ALL SELECT 'rels_article_chunk', count(*) FROM chunk
 UNION ALL SELECT 'rels_chunk_entity', count(*) FROM link UNION ALL SELECT 'chunks', count(*) FROM chunk UNION ALL SELECT 'embeddings', count(*) FROM chunk
 UNION ALL SELECT 'entity ids of chunks', count(*) FROM link""", "chap", "doc", "entity", "term", "chunk", "mention", "relation", "link"))
-def export_all_files(spark, sf):
+def export_all(spark, sf):
     """Every node, edge, chunk and vector file, read back and counted; chunk records hold their entity ids."""
     out, arts, found, df = folder(spark), st.articles(spark, sf), written(st.mentions(spark, sf)), written(chunks(spark, sf))
     links = written(link_mentions(df, found))
