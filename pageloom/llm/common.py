@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import string
 from collections.abc import Callable
 from sys import getsizeof
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,11 +34,20 @@ _HOLDERS: dict[str, Callable[[], None]] = {}
 def hold_alone(name: str, clear: Callable[[], None]) -> None:
     """A Python worker serves many stages: what other operators remember there is dropped, and ``clear``
     will drop what the caller is about to remember."""
-    for other in [k for k in _HOLDERS if k != name]:
-        _HOLDERS.pop(other)()
+    hold_nothing(name)
     _HOLDERS[name] = clear
 
 
+def hold_nothing(but: str = "") -> None:
+    """Drop what operators remember in this worker, and give the memory back."""
+    others = [k for k in _HOLDERS if k != but]
+    for other in others:
+        _HOLDERS.pop(other)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 class Memo(dict):
     """A function's results by argument, in two generations of about ``room`` bytes each: it saves work only.
 

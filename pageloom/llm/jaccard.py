@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageloom.llm.common import hold_nothing
 from pageloom.llm.components import connected
 from pageloom.llm.words import mix, places, slices, windows, word_hashes
 from pageloom.session import written
@@ -80,6 +81,7 @@ def bitmap_bits(sizes: np.ndarray) -> np.ndarray:
 
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(id, text)`` to ``(id, n, set_a, set_b, bitmap)``: size, 128-bit name and token bitmap of the set."""
+    hold_nothing()
     for batch in batches:
         for part in slices(batch, 1):
             rows, grams, sizes = shingle_sets(part.column(1))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pageloom.llm.common import hold_nothing
 from pageloom.llm.words import mix, places, slices, windows, word_hashes
 
 WINDOW = 20
@@ -48,6 +49,7 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     An anchor that repeats within the run of rows at hand is known to repeat: one row of it is sent to
     find its equals elsewhere, the others are spread by a key of their own. So a passage that a third of
     all documents hold sends one row for each run to the task of its hash."""
+    hold_nothing()
     for batch in batches:
         for part in slices(batch, 1):
             hashes, counts = word_hashes(part.column(1))

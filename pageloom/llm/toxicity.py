@@ -145,7 +145,7 @@ class Reader:
     """Texts to sentence vectors at the landmarks. Words are remembered by value, in two generations of about
     ``room`` bytes each: a full young one becomes the old one, and what is asked for again comes back from it."""
 
-    def __init__(self, landmarks: np.ndarray, room: int = 48 << 20):
+    def __init__(self, landmarks: np.ndarray, room: int = 40 << 20):
         self.landmarks, self.room = landmarks, room
         self.near: dict[str, np.ndarray | None] = {}
         self.old: dict[str, np.ndarray | None] = {}
@@ -325,7 +325,7 @@ def _scorer(model) -> object:
             _READERS[id(m)] = m, Reader(m.landmarks)
         reader = _READERS[id(m)][1]
         for batch in batches:
-            for part in slices(batch, 1, 1 << 22):
+            for part in slices(batch, 1, 1 << 20):
                 found = reader.sentences([t or "" for t in part.column(1).to_pylist()])
                 margins = np.array([max(0.0, float((s @ m.weights).max(initial=0))) for s in found]) + m.bias
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(m.probability(margins))], [batch.schema.names[0], "score"])

@@ -38,3 +38,13 @@ def test_query_rows(spark, library):
 def test_no_shuffle(spark, capsys):
     token_counts(spark.createDataFrame([(1, "a", "x", "y")], SCHEMA), PATH).explain()
     assert "Exchange" not in capsys.readouterr().out
+
+
+def test_other_tokenizers_are_refused():
+    import public_tokenizers
+
+    from pageloom.llm.packing import Encoder
+
+    for make in (MergeCounter, Encoder):
+        with pytest.raises(ValueError, match="standard cutting rules"):
+            make(public_tokenizers.path("word_bpe_49k.json"))

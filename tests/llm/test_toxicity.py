@@ -103,3 +103,25 @@ def test_held_out_accuracy(spark, sf):
     right = sum(p == y for p, y in held) / len(held)
     usual = max(sum(y == 0 for _, y in held), sum(y == 1 for _, y in held)) / len(held)
     assert right >= usual and right > 0.9, (right, usual)
+
+
+def test_memory_stays_below_its_bound():
+    from sys import getsizeof
+
+    from pageloom.llm.common import SLOT, Memo
+
+    rng = np.random.default_rng(1)
+    reader = Reader(np.ascontiguousarray(triple_vectors(["idiot", "moron"]).T), room=200_000)
+    size = lambda d: sum(getsizeof(k) + SLOT + (0 if v is None else getsizeof(v)) for k, v in d.items())
+    plain = Reader(reader.landmarks)
+    for _ in range(30):
+        texts_ = [" ".join(f"idi{rng.integers(0, 5000)}ot" for _ in range(100)) for _ in range(4)]
+        for a, b in zip(reader.sentences(texts_), plain.sentences(texts_)):
+            assert np.array_equal(a, b)
+        one_batch = 400 * (SLOT + 700)
+        assert size(reader.near) <= 200_000 + one_batch and size(reader.old) <= 200_000 + one_batch
+        assert all(v is None or v.base is None for v in reader.near.values())
+    memo = Memo(lambda w: w.encode() * 2, 50_000)
+    for i in rng.integers(0, 3000, 20_000).tolist():
+        assert memo[f"w{i}"] == f"w{i}w{i}".encode()
+        assert sum(getsizeof(k) + getsizeof(v) + SLOT for k, v in memo.items()) <= 50_000 + 400
