@@ -54,3 +54,14 @@ def out_of_range(df: DataFrame, value: str = "confidence", low: float = 0.0, hig
 def pending(df: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is not in the state table."""
     return df.join(state.select(*keys), keys, "left_anti")
+
+
+def uniqueness_report(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """``(label, key, value, n)``: every value that breaks the uniqueness of its key, over all given ``(label, key)``
+    tables at once. One aggregation, combined map-side, so a value of many rows does not pile up. Null keys break
+    nothing. No tables give an error, tables without rows an empty report."""
+    parts = [df.select(F.lit(label).alias("label"), F.lit(key).alias("key"), F.col(key).cast("string").alias("value")) for (label, key), df in tables.items()]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.where("value IS NOT NULL").groupBy("label", "key", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -346,6 +346,27 @@ def duplicate_names(spark, sf):
     return ky.duplicate_keys(st.mentions(spark, sf), ["entity_id"])
 
 
+@register("uniqueness_report", sql("""
+SELECT label, key, value, count(*) AS n FROM (
+  SELECT 'Chapter' AS label, 'chapter_number' AS key, unnest(CASE WHEN chapter_number % 5 = 0 THEN [chapter_number, chapter_number] ELSE [chapter_number] END)::VARCHAR AS value FROM chap
+  UNION ALL SELECT 'Article', 'article_id', unnest(CASE WHEN article_number = 0 THEN [article_id, article_id, article_id] ELSE [article_id] END) FROM doc
+  UNION ALL SELECT 'Entity', 'entity_id', unnest(CASE WHEN length(name) = 7 THEN [entity_id, entity_id] ELSE [entity_id] END) FROM entity
+  UNION ALL SELECT 'GlossaryTerm', 'term', term FROM term
+  UNION ALL SELECT 'Chunk', 'chunk_id', unnest(CASE WHEN chunk_type = 'article_summary' THEN [chunk_id, chunk_id] ELSE [chunk_id] END) FROM chunk)
+GROUP BY 1, 2, 3 HAVING count(*) > 1""", "chap", "doc", "entity", "term", "chunk"))
+def uniqueness_report(spark, sf):
+    """All five node keys in one aggregation; some nodes of each kind are there two or three times."""
+    arts, ents, parts = st.articles(spark, sf), entities(spark, sf), chunks(spark, sf)
+
+    def again(df, which, times=2):
+        return df.withColumn("_n", F.explode(F.sequence(F.lit(1), F.when(which, times).otherwise(1))))
+
+    return ky.uniqueness_report({
+        ("Chapter", "chapter_number"): again(st.chapters(spark, sf), F.col("chapter_number") % 5 == 0),
+        ("Article", "article_id"): again(arts, F.col("article_number") == 0, 3), ("Entity", "entity_id"): again(ents, F.length("name") == 7),
+        ("GlossaryTerm", "term"): st.glossary(spark, sf), ("Chunk", "chunk_id"): again(parts, F.col("chunk_type") == ch.SUMMARY)})
+
+
 @register("confidence_out_of_range", sql("""
 SELECT article_id, position, confidence * 1.25 + 0.1 AS confidence FROM mention WHERE NOT (confidence * 1.25 + 0.1 BETWEEN 0 AND 1.2)""", "mention"))
 def confidence_out_of_range(spark, sf):
