@@ -474,12 +474,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # sizes alone leave out members without a partner of a size within 3 to 4; bitmaps are attached last
     sized = groups.join(classes.select("name", "rep", "n").hint("merge"), "name")
+    # counted by size first, so that a group in one task has a row for each of its sizes, not for each class
     order = Window.partitionBy("grp").orderBy("n")
     num, den = SIMILAR
-    beside = (den * F.lag("n").over(order) >= num * F.col("n")) | (den * F.col("n") >= num * F.lead("n").over(order))
-    placed = sized.withColumn("beside", beside).where("beside").drop("beside")
-    sizes = placed.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("long").alias("blocks"))
-    pairs = block_pairs(placed.join(sizes, "grp"), "grp", F.col("blocks"))
+    steps = sized.groupBy("grp", "n").agg(F.count(F.lit(1)).alias("classes"))
+    near = (den * F.lag("n").over(order) >= num * F.col("n")) | (den * F.col("n") >= num * F.lead("n").over(order))
+    kept = written(steps.withColumn("near", F.coalesce(near, F.lit(False))).where("classes > 1 or near").drop("near"), "steps")
+    placed = sized.join(kept.select("grp", "n"), ["grp", "n"], "left_semi")
+    sizes = kept.groupBy("grp").agg(F.ceil(F.sum("classes") / MEMBERS).cast("long").alias("blocks")).where("blocks > 1")
+    pairs = block_pairs(placed.join(sizes, "grp", "left"), "grp", F.coalesce("blocks", F.lit(1)))
     met = pairs.join(classes.select("name", "bitmap").hint("merge"), "name").select("grp", "one", "two", "block", "rep", "n", "bitmap")
     met = met.repartition("grp", "one", "two").sortWithinPartitions("grp", "one", "two")
     able = written(connected(met.mapInArrow(search_groups, "x long, y long")), "able")
