@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import string
 from collections.abc import Callable
@@ -39,13 +40,19 @@ def hold_alone(name: str, clear: Callable[[], None]) -> None:
 
 
 def hold_nothing(but: str = "") -> None:
-    """Drop what operators remember in this worker, and give the memory back."""
-    others = [k for k in _HOLDERS if k != but]
-    for other in others:
+    """Drop what operators remember in this worker, and give the memory back to the system."""
+    for other in [k for k in _HOLDERS if k != but]:
         _HOLDERS.pop(other)()
-    if others:
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which the C library else keeps for later stages of this worker."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
+    if trim:
+        trim(0)
 
 
 class Memo(dict):

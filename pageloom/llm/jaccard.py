@@ -38,6 +38,8 @@ MEMBERS = 1024
 BLOCK = 1_000_000
 #: Groups of up to so many members are known by the set of their members, so that equal ones merge.
 NAMED = 64
+#: Bytes of text whose shingles a task holds at a time; a run takes some twenty times as much.
+RUN = 1 << 21
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -83,7 +85,7 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(id, text)`` to ``(id, n, set_a, set_b, bitmap)``: size, 128-bit name and token bitmap of the set."""
     hold_nothing()
     for batch in batches:
-        for part in slices(batch, 1):
+        for part in slices(batch, 1, RUN):
             rows, grams, sizes = shingle_sets(part.column(1))
             bits = bitmap_bits(sizes)
             packed = np.concatenate(bitmaps(rows, grams, sizes, bits))
@@ -97,8 +99,9 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def local_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(id, text)`` to ``(shingle, seen)``: shingles that at least 8 documents and one in a thousand of
     the run of rows at hand hold."""
+    hold_nothing()
     for batch in batches:
-        for part in slices(batch, 1):
+        for part in slices(batch, 1, 2 * RUN):
             _, grams, _ = shingle_sets(part.column(1))
             found, seen = np.unique(grams, return_counts=True)
             much = seen >= max(8, len(part) // 1000)
@@ -118,9 +121,10 @@ def first_shingles(frequent) -> object:
     """``(id, text)`` to ``(key, name)``: the set's name under each of its first quarter of shingles."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
         last = frequent.value
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 2 * RUN):
                 rows, grams, sizes = shingle_sets(part.column(1))
                 if not len(rows):
                     continue
