@@ -145,7 +145,7 @@ class Reader:
     """Texts to sentence vectors at the landmarks. Words are remembered by value, in two generations of about
     ``room`` bytes each: a full young one becomes the old one, and what is asked for again comes back from it."""
 
-    def __init__(self, landmarks: np.ndarray, room: int = 40 << 20):
+    def __init__(self, landmarks: np.ndarray, room: int = 24 << 20):
         self.landmarks, self.room = landmarks, room
         self.near: dict[str, np.ndarray | None] = {}
         self.old: dict[str, np.ndarray | None] = {}
