@@ -9,13 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageloom.session import shared_path, written
+
 # Price per million tokens and vector width by model.
 PRICE_PER_MILLION = {"text-embedding-3-small": 0.02, "text-embedding-3-large": 0.13}
 DIMENSIONS = {"text-embedding-3-small": 1536, "text-embedding-3-large": 3072}
 
-#: Most query vectors that are handed to every task; more are spread over a grid of tasks.
-MAX_BROADCAST_QUERIES = 2048
-GRID_QUERIES, GRID_VECTORS = 1024, 16384
+#: Bytes of query vectors that one pass over the vectors hands to every task.
+PASS_BYTES = 32 << 20
 
 
 def hashed_words(batches: Iterator[pd.DataFrame], dims: int) -> Iterator[pd.DataFrame]:
@@ -85,74 +86,72 @@ def _matrix(vectors) -> np.ndarray:
 
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, digits: int | None) -> pd.DataFrame:
-    """Top k per query within one batch: similarity down, id up. Each row is cut at its k-th value first."""
-    sims = queries @ vectors.T
-    if digits is not None:
-        sims = np.round(sims, digits) + 0.0
-    found = []
-    for row in sims:
+    """Top k per query within one batch: similarity down, id up. Each row is cut a little below its k-th value;
+    what stays is summed anew pair by pair, so that a similarity does not depend on the shape of its block."""
+    margin = 1e-9 if digits is None else 10.0**-digits + 1e-9
+    found, sims = [], []
+    for query, row in zip(queries, queries @ vectors.T):
         places = np.arange(len(row))
         if len(row) > k:
-            places = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
-        found.append(places[np.lexsort((ids[places], -row[places]))[:k]])
-    n = [len(f) for f in found]
-    rows, places = np.repeat(np.arange(len(found)), n), np.concatenate(found)
-    return pd.DataFrame({"query_id": query_ids[rows], "id": ids[places], "similarity": sims[rows, places]})
+            places = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k] - margin)
+        exact = np.einsum("ij,j->i", vectors[places], query)
+        if digits is not None:
+            exact = np.round(exact, digits) + 0.0
+        order = np.lexsort((ids[places], -exact))[:k]
+        found.append(places[order])
+        sims.append(exact[order])
+    rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+    return pd.DataFrame({"query_id": query_ids[rows], "id": ids[np.concatenate(found)], "similarity": np.concatenate(sims)})
 
 
 def cosine_top_k(
-    queries: DataFrame, vectors: DataFrame, k: int = 10, max_broadcast: int = MAX_BROADCAST_QUERIES, digits: int | None = None
+    queries: DataFrame, vectors: DataFrame, k: int = 10, max_broadcast: int | None = None, digits: int | None = None
 ) -> DataFrame:
     """``queries(query_id, embedding)`` against ``vectors(id, embedding)``: exact top ``k`` per query.
 
     Null vectors on either side take no part. Ranks follow the full precision unless ``digits`` says to
     round similarities first, which makes ties of near values a matter of the id.
 
-    Each batch of vectors is multiplied with the query matrix and sends on its own top k only, so the
-    shuffle carries at most k rows per query and batch. Query sets above ``max_broadcast`` go to
-    ``_grid_top_k``, which holds bounded blocks of both sides per task."""
-    queries = queries.filter("embedding is not null")
-    few = queries.select("query_id", "embedding").limit(max_broadcast + 1).toPandas()
+    Queries are written once and cut into blocks of ``PASS_BYTES`` (or ``max_broadcast`` rows). Each block
+    is one pass over the vectors, which never shuffle: a batch is multiplied with the block and sends on
+    its own top k, so at most k rows per query and batch are shuffled. A pass leaves its top k in the shared
+    folder and gives its block back before the next one starts."""
+    spark = queries.sparkSession
     ddl = (
         f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
         f"id {vectors.schema['id'].dataType.simpleString()}, similarity double"
     )
-    if len(few) > max_broadcast:
-        found = _grid_top_k(queries, vectors, k, ddl, digits)
-    elif len(few) == 0:
-        return queries.sparkSession.createDataFrame([], ddl + ", rank int")
-    else:
-        shared = queries.sparkSession.sparkContext.broadcast((few["query_id"].to_numpy(), _matrix(few["embedding"])))
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            query_ids, matrix = shared.value
-            for pdf in batches:
-                if len(pdf):
-                    yield _best(query_ids, matrix, pdf["id"].to_numpy(), _matrix(pdf["embedding"]), k, digits)
-
-        found = vectors.select("id", "embedding").filter("embedding is not null").mapInPandas(scan, ddl)
-    ranked = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "id")
-    return found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
-
-
-def _grid_top_k(queries: DataFrame, vectors: DataFrame, k: int, ddl: str, digits: int | None) -> DataFrame:
-    """Blocks of queries meet blocks of vectors, one bounded pair per group."""
-    rows = max(1, -(-queries.count() // GRID_QUERIES))
-    columns = max(1, -(-vectors.count() // GRID_VECTORS))
-    q = queries.select("query_id", "embedding").withColumn("_r", F.pmod(F.xxhash64("query_id"), F.lit(rows)).cast("int"))
-    q = q.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
-    v = vectors.select("id", "embedding").filter("embedding is not null")
-    v = v.withColumn("_c", F.pmod(F.xxhash64("id"), F.lit(columns)).cast("int"))
-    v = v.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
-
-    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "id": [], "similarity": []})
-        return _best(
-            left["query_id"].to_numpy(), _matrix(left["embedding"]), right["id"].to_numpy(), _matrix(right["embedding"]), k, digits
-        )
-
-    return q.groupBy("_r", "_c").cogroup(v.groupBy("_r", "_c")).applyInPandas(cell, ddl)
+    asked = queries.filter("embedding is not null").select("query_id", "embedding")
+    asked = written(asked.withColumn("_n", F.monotonically_increasing_id()), "queries")
+    seen = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("width")).first()
+    if not seen["n"]:
+        return spark.createDataFrame([], ddl + ", rank int")
+    most = max_broadcast or max(1, PASS_BYTES // (8 * max(1, seen["width"])))
+    passes = -(-seen["n"] // most)
+    path = shared_path(spark, "top")
+    rows = vectors.select("id", "embedding").filter("embedding is not null")
+    for i in range(passes):
+        block = asked.filter(F.pmod("_n", F.lit(passes)) == i).toPandas()
+        if len(block):
+            shared = spark.sparkContext.broadcast((block["query_id"].to_numpy(), _matrix(block["embedding"])))
+            _ranked(rows.mapInPandas(_scan(shared, k, digits), ddl), k).drop("rank").write.mode("append").parquet(path)
+            shared.destroy()
+    return _ranked(spark.read.schema(ddl).parquet(path), k)
+
+
+def _scan(shared, k: int, digits: int | None):
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        query_ids, matrix = shared.value
+        for pdf in batches:
+            if len(pdf):
+                yield _best(query_ids, matrix, pdf["id"].to_numpy(), _matrix(pdf["embedding"]), k, digits)
+
+    return scan
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def hybrid_lookup(queries: DataFrame, vectors: DataFrame, chunk_entities: DataFrame, k: int = 10, digits: int | None = None) -> DataFrame:

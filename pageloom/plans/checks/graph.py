@@ -13,6 +13,7 @@ from pageloom.operators import keyed as ky
 from pageloom.operators import mentions as mn
 from pageloom.operators import relations as rl
 from pageloom.operators import rollups as ro
+from pageloom.operators.passes import buffered
 from pageloom.plans import standins as st
 from pageloom.plans.checks import register
 from pageloom.plans.checks.ctes import sql
@@ -48,6 +49,13 @@ def extract_mentions(spark, sf):
     return ints(st.mentions(spark, sf).select(*MENTION_COLUMNS), *PLACE)
 
 
+@register("extract_buffered")
+def extract_buffered(spark, sf):
+    """Answers of a model without offsets, in buffers and two passes; tests/test_passes.py has the plain version."""
+    raw = mn.extract_mentions_with(st.articles(spark, sf), buffered(st.spelled))
+    return mn.valid_mentions(raw).select("position", *MENTION_COLUMNS, "attributes")
+
+
 @register("extract_mentions_whole", sql("SELECT * FROM whole_mention", "whole_mention"))
 def extract_mentions_whole(spark, sf):
     """With every word of the documents and two-word names as gazetteer; nearly every word is a mention."""

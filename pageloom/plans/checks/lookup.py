@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pageloom.operators import search as se
 from pageloom.operators.ranked import build_index, ranked_top_k
 from pageloom.operators import vectors as ve
+from pageloom.operators.neighbours import approximate_top_k, build_vector_index
 from pageloom.operators.mentions import link_mentions
 from pageloom.plans import standins as st
 from pageloom.plans.checks import register
@@ -76,11 +77,38 @@ def cosine_top_k(spark, sf):
 
 @register("cosine_top_k_grid", _CENTRES)
 def cosine_top_k_grid(spark, sf):
-    """The same through the grid that serves large query sets."""
+    """The same in several passes, as for query sets larger than one block."""
     vectors = st.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     return ints(ve.cosine_top_k(_centres(spark, sf), vectors, k=10, max_broadcast=2, digits=6), "rank")
 
 
+def _looked_up(spark, sf):
+    """Every twentieth vector against all vectors: the questions and the index."""
+    e = written(st.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), "vectors")
+    return e.filter("id % 20 = 0").withColumnRenamed("id", "query_id"), e
+
+
+@register("vector_index_top_k")
+def vector_index_top_k(spark, sf):
+    """Through the index; tests and ``vector_index_recall`` compare it with the exact answer."""
+    queries, vectors = _looked_up(spark, sf)
+    return ints(approximate_top_k(queries, build_vector_index(vectors), 10), "rank")
+
+
+@register("vector_index_recall", """
+SELECT count(*) AS indexed, count(*) FILTER (vec_id % 20 = 0) AS queries, true AS reached FROM embeddings
+WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)""")
+def vector_index_recall(spark, sf):
+    """All sound vectors are in the index, and nine in ten of the exact ten nearest are found."""
+    queries, vectors = _looked_up(spark, sf)
+    index = build_vector_index(vectors)
+    exact = ve.cosine_top_k(queries, vectors, 10).select("query_id", "id")
+    found = written(approximate_top_k(queries, index, 10).select("query_id", "id", F.lit(1).alias("hit")), "found")
+    share = exact.join(found, ["query_id", "id"], "left").agg(
+        F.countDistinct("query_id").alias("queries"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("reached"))
+    return index.lists.agg(F.count(F.lit(1)).alias("indexed")).join(share, F.lit(True))
+
+
 @register("hybrid_lookup", _with("""
 SELECT query_id, chunk_id, count(*) AS shared_entities FROM (SELECT DISTINCT query_id, entity_id FROM best JOIN link USING (chunk_id) WHERE rank = 1)
 JOIN (SELECT DISTINCT chunk_id, entity_id FROM link) USING (entity_id) GROUP BY 1, 2""", "chunk", "link"))
