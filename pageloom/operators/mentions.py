@@ -126,36 +126,48 @@ def valid_mentions(raw: DataFrame) -> DataFrame:
     )
 
 
+def _stretches(start, end, width: int):
+    """Numbers of the stretches of ``width`` characters that a span touches."""
+    return F.sequence(F.floor(start / width), F.floor(F.greatest(start, end - 1) / width))
+
+
+def _meet(width: int):
+    """Condition that a chunk and a mention share characters and meet in the first stretch both touch."""
+    first_shared = F.floor(F.greatest("char_start", "start_pos") / width)
+    return (F.col("start_pos") < F.col("char_end")) & (F.col("end_pos") > F.col("char_start")) & (F.col("_at") == first_shared)
+
+
 def overlap_join(chunks: DataFrame, mentions: DataFrame, width: int = 2048) -> DataFrame:
     """Chunk and mention pairs of one article that share characters. Both sides are cut into stretches
     of ``width`` characters and joined on article and stretch, so even one huge article spreads over
     many tasks; a pair is kept only in the first stretch both touch, so nothing repeats."""
-
-    def stretches(start, end):
-        return F.sequence(F.floor(start / width), F.floor(F.greatest(start, end - 1) / width))
-
     c = chunks.select("chunk_id", F.col("source_article_id").alias("article_id"), "char_start", "char_end")
     c = c.filter(F.col("char_start").isNotNull() & F.col("char_end").isNotNull())
     m = mentions.select("article_id", "entity_id", "position", "start_pos", "end_pos")
     m = m.filter(F.col("start_pos").isNotNull() & F.col("end_pos").isNotNull())
-    c = c.withColumn("_at", F.explode(stretches(F.col("char_start"), F.col("char_end"))))
-    m = m.withColumn("_at", F.explode(stretches(F.col("start_pos"), F.col("end_pos"))))
-    first_shared = F.floor(F.greatest("char_start", "start_pos") / width)
-    return c.join(m, ["article_id", "_at"]).filter(
-        (F.col("start_pos") < F.col("char_end")) & (F.col("end_pos") > F.col("char_start")) & (F.col("_at") == first_shared)
-    ).drop("_at")
+    c = c.withColumn("_at", F.explode(_stretches(F.col("char_start"), F.col("char_end"), width)))
+    m = m.withColumn("_at", F.explode(_stretches(F.col("start_pos"), F.col("end_pos"), width)))
+    return c.join(m, ["article_id", "_at"]).filter(_meet(width)).drop("_at")
 
 
-def link_mentions(chunks: DataFrame, mentions: DataFrame, width: int = 2048) -> DataFrame:
+def link_mentions(chunks: DataFrame, mentions: DataFrame, width: int = 2048, parts: int = 16) -> DataFrame:
     """``(chunk_id, source_article_id, entity_id, position, end_pos)``: text chunks by character range,
-    summary chunks to every mention of the article. Repeated mentions repeat."""
-    columns = ["chunk_id", F.col("article_id").alias("source_article_id"), "entity_id", "position", "end_pos"]
-    ranged = overlap_join(chunks.filter(F.col("chunk_type") != SUMMARY), mentions, width).select(*columns)
-    summaries = chunks.filter(F.col("chunk_type") == SUMMARY).select(
-        "chunk_id", F.col("source_article_id").alias("article_id")
-    )
-    whole = summaries.join(mentions.select("article_id", "entity_id", "position", "end_pos"), "article_id")
-    return ranged.unionByName(whole.select(*columns))
+    summary chunks to every mention of the article, with or without a place. Repeated mentions repeat.
+
+    One join on article and stretch serves both, so chunks and mentions are read once. A summary stands in
+    ``parts`` stretches below zero, and each mention goes to one of them by its own stretch, so that the
+    mentions of one huge article spread there too. Mentions and chunks without an article link with nothing."""
+    start, end = F.col("char_start"), F.col("char_end")
+    nowhere = F.array().cast("array<bigint>")
+    c = chunks.select("chunk_id", F.col("source_article_id").alias("article_id"), "char_start", "char_end", F.explode(
+        F.when(F.col("chunk_type") == SUMMARY, F.sequence(F.lit(-parts).cast("long"), F.lit(-1).cast("long")))
+        .when(start.isNotNull() & end.isNotNull(), _stretches(start, end, width)).otherwise(nowhere)).alias("_at"))
+    start, end = F.col("start_pos"), F.col("end_pos")
+    home = -1 - F.pmod(F.coalesce(F.floor(start / width), F.lit(0).cast("long")), F.lit(parts))
+    m = mentions.select("article_id", "entity_id", "position", "start_pos", "end_pos", F.explode(F.concat(
+        F.array(home), F.when(start.isNotNull() & end.isNotNull(), _stretches(start, end, width)).otherwise(nowhere))).alias("_at"))
+    return c.join(m, ["article_id", "_at"]).filter((F.col("_at") < 0) | _meet(width)).select(
+        "chunk_id", F.col("article_id").alias("source_article_id"), "entity_id", "position", "end_pos")
 
 
 def merge_entities(mentions: DataFrame) -> DataFrame:

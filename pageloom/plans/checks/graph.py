@@ -202,7 +202,7 @@ def _with(body: str, extra: str, *names: str) -> str:
 def glossary_entities(spark, sf):
     g = st.glossary(spark, sf).select("seq", F.lower("term").alias("t"))
     e = entities(spark, sf).select("entity_id", F.explode(F.array_distinct(F.array(F.lower("name"), F.lower("source_text")))).alias("x"))
-    pairs = gl.contains_join(g, e, "t", "x").select("seq", "entity_id").distinct()
+    pairs = gl.contains_join(g, e, "t", "x", keep_text=False).select("seq", "entity_id").distinct()
     return pairs.groupBy("seq").agg(F.count(F.lit(1)).alias("entities"))
 
 
@@ -212,7 +212,7 @@ JOIN (SELECT item_id, text, regexp_extract(text, '\\p{L}+') AS term FROM benchma
 def glossary_terms_near(spark, sf):
     g = st.glossary(spark, sf)
     texts = g.select(F.col("term").alias("other"), F.lower("definition").alias("x"))
-    pairs = gl.contains_join(g.select("seq", "term", F.lower("term").alias("t")), texts, "t", "x").filter("other <> term")
+    pairs = gl.contains_join(g.select("seq", "term", F.lower("term").alias("t")), texts, "t", "x", keep_text=False).filter("other <> term")
     return pairs.groupBy("seq").agg(F.count(F.lit(1)).alias("others"))
 
 
@@ -234,7 +234,7 @@ def enrich_glossary(spark, sf):
 def related_chapters(spark, sf):
     g = st.glossary(spark, sf).select("seq", F.lower("term").alias("t"))
     e = entities(spark, sf).select("source_article_id", F.explode(F.array_distinct(F.array(F.lower("name"), F.lower("source_text")))).alias("x"))
-    pairs = gl.contains_join(g, e, "t", "x").select("seq", tx.chapter_of(F.col("source_article_id")).alias("c")).distinct()
+    pairs = gl.contains_join(g, e, "t", "x", keep_text=False).select("seq", tx.chapter_of(F.col("source_article_id")).alias("c")).distinct()
     return pairs.groupBy("seq").agg(F.count(F.lit(1)).alias("chapters"))
 
 
