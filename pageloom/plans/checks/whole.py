@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 from pageloom.operators import graph as gr
 from pageloom.operators import relations as rl
 from pageloom.operators.chunks import with_entity_ids
+from pageloom.operators.glossary import enrich_glossary
 from pageloom.operators.mentions import link_mentions, merge_entities
 from pageloom.operators.vectors import embed_chunks
 from pageloom.plans import standins as st
-from pageloom.plans.checks import register
+from pageloom.plans.checks import ORACLES, register
 from pageloom.plans.checks.ctes import sql
 from pageloom.plans.checks.files import _ESC, BOOK_SQL, CHUNK_SQL, GRAPH_SQL, TITLE, folder
 from pageloom.plans.checks.text import chunks
 from pageloom.plans.guide import export_chunks, export_graph
 from pageloom.session import written
+from pageloom.sources.enriched import read_enriched_guide, write_enriched_guide
 from pageloom.sources import readers as rd
 from pageloom.sources import writers as wr
 
@@ -95,3 +97,37 @@ def export_all(spark, sf):
     counts = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, d in tables.items()]
     ids = records.agg(F.coalesce(F.sum(F.size("entity_ids")), F.lit(0)).alias("n"))
     return wr.union_all([*counts, ids.select(F.lit("entity ids of chunks").alias("name"), "n")])
+
+
+@register("enriched_guide_round_trip", sql("""
+SELECT 'article' AS kind, article_id AS key, CASE WHEN lang = 'en' THEN string_split(text, chr(10))[1] END AS value, NULL::BIGINT AS n FROM doc
+UNION ALL SELECT 'mention', article_id, entity_id || ' ' || source_text || ' ' || alignment_status, start_pos FROM mention
+UNION ALL SELECT 'entity', entity_id, source_article_id || ' ' || name || ' ' || matched, end_pos FROM entity
+UNION ALL SELECT 'article relationship', source_article_id, relationship_id || ' ' || source_text, NULL FROM rel
+UNION ALL SELECT 'relationship', relationship_id, source_entity_id || ' ' || relationship_type || ' ' || target_entity_id, NULL FROM relation
+UNION ALL SELECT 'term', term, related_terms || ' ' || related_chapters || ' ' || related_entity_ids, NULL FROM (
+""", "doc", "mention", "entity", "rel", "relation") + ORACLES["enrich_glossary"] + ")")
+def enriched_guide_round_trip(spark, sf):
+    """Every part of the enriched guide, written as one document and read back."""
+    found = written(st.mentions(spark, sf))
+    rels = written(rl.resolve_relationships(st.raw_relationships(found), found))
+    merged = written(merge_entities(found))
+    path = write_enriched_guide(
+        folder(spark), articles=st.articles(spark, sf), mentions=found, entities=merged, article_relationships=rels,
+        relationships=rl.collect_relationships(rels), glossary=enrich_glossary(st.glossary(spark, sf), merged), enrichment=st.enrichment(spark, sf))
+    back = read_enriched_guide(spark, path)
+
+    def rows(name, kind, key, value, n=None):
+        return back[name].select(F.lit(kind).alias("kind"), F.col(key).alias("key"), value.alias("value"), (F.col(n) if n else F.lit(None)).cast("long").alias("n"))
+
+    def joined(*columns):
+        return F.concat(*[x for c in columns for x in (F.lit(" "), c if not isinstance(c, str) else F.col(c))][1:])
+
+    return wr.union_all([
+        rows("articles", "article", "article_id", F.col("summary")),
+        rows("mentions", "mention", "source_article_id", joined("entity_id", "source_text", "alignment_status"), "start_pos"),
+        rows("entities", "entity", "entity_id", joined("source_article_id", "name", F.col("attributes")["matched"]), "end_pos"),
+        rows("article_relationships", "article relationship", "source_article_id", joined("relationship_id", "source_text")),
+        rows("relationships", "relationship", "relationship_id", joined("source_entity_id", "relationship_type", "target_entity_id")),
+        rows("glossary", "term", "term", joined(*[F.array_join(c, "|") for c in ("related_terms", "related_chapters", "related_entity_ids")])),
+        rows("unread", "unread", "line", F.lit(None).cast("string"))])
