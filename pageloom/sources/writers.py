@@ -41,8 +41,9 @@ def write_lines(lines: DataFrame, path: str) -> str:
 
 ARTICLE_FIELDS = [
     "article_id", "chapter_number", "article_number", "title", "url", "content_type", "markdown_content", "sections",
-    "key_concepts", "links", "images", "videos", "webinars", "related", "word_count", "char_count",
+    "summary", "key_concepts", "links", "images", "videos", "webinars", "related", "scraped_at", "word_count", "char_count",
 ]
+TERM_FIELDS = ["term", "acronym", "definition", "related_terms", "related_chapters"]
 
 
 def jsonl_records(articles: DataFrame, chapters: DataFrame, glossary: DataFrame, guide_title: str) -> DataFrame:
@@ -51,7 +52,7 @@ def jsonl_records(articles: DataFrame, chapters: DataFrame, glossary: DataFrame,
     a = articles.join(chapters.select("chapter_number", F.col("title").alias("chapter_title")), "chapter_number", "left")
     a = a.select(F.lit("article").alias("type"), F.lit(guide_title).alias("guide_title"), "chapter_title", *fields)
     g = glossary.select(F.lit("glossary_term").alias("type"), F.lit(guide_title).alias("guide_title"),
-                        *[c for c in ("term", "acronym", "definition", "related_terms", "related_chapters") if c in glossary.columns])
+                        *[c for c in TERM_FIELDS if c in glossary.columns])
     return a.unionByName(g, allowMissingColumns=True)
 
 
@@ -77,9 +78,13 @@ def write_jsonl(df: DataFrame, path: str) -> str:
     return path
 
 
-def guide_json_lines(articles: DataFrame, chapters: DataFrame, glossary: DataFrame, metadata: dict[str, str]) -> DataFrame:
+def guide_json_lines(
+    articles: DataFrame, chapters: DataFrame, glossary: DataFrame, metadata: dict[str, str], totals: bool = False,
+    glossary_url: str | None = None,
+) -> DataFrame:
     """The nested guide as lines of one JSON document: opening, chapter heads, one line per article,
-    closings. Raw HTML is not part of it; its key stays, as null."""
+    closings. Raw HTML is not part of it; its key stays, as null. Fields that a table lacks are left out.
+    ``totals`` adds the glossary's address and number of terms and the guide's numbers of articles and words."""
     spark = articles.sparkSession
     fields = [c for c in ARTICLE_FIELDS if c in articles.columns]
     body = F.to_json(F.struct(*fields, F.lit(None).cast("string").alias("raw_html")), {"ignoreNullFields": "false"})
@@ -91,15 +96,23 @@ def guide_json_lines(articles: DataFrame, chapters: DataFrame, glossary: DataFra
     first_chapter = chapters.agg(F.min("chapter_number").alias("_first"))
     c = chapters.join(totals, "chapter_number", "left").withColumn("_one", F.lit(1)).join(
         first_chapter.withColumn("_one", F.lit(1)), "_one")
-    head = F.to_json(F.struct("chapter_number", "title", "overview_url",
+    described = [F.col("description")] if "description" in chapters.columns else []
+    head = F.to_json(F.struct("chapter_number", "title", "overview_url", *described,
                               F.coalesce("article_count", F.lit(0)).alias("article_count"),
-                              F.coalesce("total_word_count", F.lit(0)).alias("total_word_count")))
+                              F.coalesce("total_word_count", F.lit(0)).alias("total_word_count")), {"ignoreNullFields": "false"})
     opened = F.concat(F.when(F.col("chapter_number") == F.col("_first"), "").otherwise(","),
                       F.regexp_replace(head, r"\}\z", ',"articles":['))
     meta = spark.range(1).select(F.to_json(F.create_map(*[F.lit(x) for kv in metadata.items() for x in kv])).alias("m"))
     g = glossary.withColumn("_one", F.lit(1)).join(
         glossary.agg(F.min("seq").alias("_first"), F.lit(1).alias("_one")), "_one")
-    term = F.concat(F.when(F.col("seq") == F.col("_first"), "").otherwise(","), F.to_json(F.struct("term", "definition")))
+    term = F.concat(F.when(F.col("seq") == F.col("_first"), "").otherwise(","), F.to_json(F.struct(*[c for c in TERM_FIELDS if c in glossary.columns])))
+    last = _fixed(spark, 4, ["]}}"])
+    if totals:
+        words = articles.agg(F.count(F.lit(1)).alias("total_articles"), F.coalesce(F.sum("word_count"), F.lit(0)).alias("total_word_count"))
+        terms = glossary.agg(F.lit(glossary_url).alias("url"), F.count(F.lit(1)).alias("term_count"))
+        tail = [terms.select(F.concat(F.lit("],"), F.regexp_replace(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}), r"^\{", "")).alias("line")),
+                words.select(F.concat(F.lit(","), F.regexp_replace(F.to_json(F.struct("*")), r"^\{", "")).alias("line"))]
+        last = union_all([_lines(t, 4 + i, 0, "", 0, F.col("line")) for i, t in enumerate(tail)])
     return union_all([
         _lines(meta, 0, 0, "", 0, F.concat(F.lit('{"metadata":'), F.col("m"), F.lit(',"chapters":['))),
         _lines(c, 1, F.col("chapter_number"), "", -1, opened),
@@ -107,12 +120,12 @@ def guide_json_lines(articles: DataFrame, chapters: DataFrame, glossary: DataFra
         _lines(c, 1, F.col("chapter_number"), "~", 0, F.lit("]}")),
         _fixed(spark, 2, ['],"glossary":{"terms":[']),
         _lines(g, 3, F.col("seq"), "", 0, term),
-        _fixed(spark, 4, ["]}}"]),
+        last,
     ])
 
 
-def write_guide_json(articles, chapters, glossary, metadata, path: str) -> str:
-    return write_lines(guide_json_lines(articles, chapters, glossary, metadata), path)
+def write_guide_json(articles, chapters, glossary, metadata, path: str, totals: bool = False, glossary_url: str | None = None) -> str:
+    return write_lines(guide_json_lines(articles, chapters, glossary, metadata, totals, glossary_url), path)
 
 
 # ---- Markdown book -------------------------------------------------------------------------------
