@@ -89,12 +89,12 @@ def guide_json_lines(
     fields = [c for c in ARTICLE_FIELDS if c in articles.columns]
     body = F.to_json(F.struct(*fields, F.lit(None).cast("string").alias("raw_html")), {"ignoreNullFields": "false"})
     leads = articles.groupBy("chapter_number").agg(F.min(F.struct("article_number", "article_id")).alias("_lead"))
-    totals = articles.groupBy("chapter_number").agg(
+    sums = articles.groupBy("chapter_number").agg(
         F.count(F.lit(1)).alias("article_count"), F.sum("word_count").alias("total_word_count"))
     a = articles.join(leads, "chapter_number")
     comma = F.when(F.struct("article_number", "article_id") == F.col("_lead"), "").otherwise(",")
     first_chapter = chapters.agg(F.min("chapter_number").alias("_first"))
-    c = chapters.join(totals, "chapter_number", "left").withColumn("_one", F.lit(1)).join(
+    c = chapters.join(sums, "chapter_number", "left").withColumn("_one", F.lit(1)).join(
         first_chapter.withColumn("_one", F.lit(1)), "_one")
     described = [F.col("description")] if "description" in chapters.columns else []
     head = F.to_json(F.struct("chapter_number", "title", "overview_url", *described,
