@@ -42,7 +42,9 @@ def buffers(text: str, most: int) -> Iterator[tuple[int, int]]:
 
 def _codes(text: str) -> np.ndarray:
     """Lower-case code points, one for each character."""
-    folded = "".join(low if len(low := c.lower()) == 1 else c for c in text)
+    folded = text.lower()
+    if not text.isascii():
+        folded = "".join(low if len(low := c.lower()) == 1 else c for c in text)
     return np.frombuffer(folded.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
@@ -57,11 +59,11 @@ def _distances(wanted: np.ndarray, text: np.ndarray, anchored: bool) -> np.ndarr
     return row
 
 
-def nearest(text: str, wanted: str, share: float) -> tuple[int, int] | None:
+def nearest(text: str, wanted: str, share: float, codes: np.ndarray | None = None) -> tuple[int, int] | None:
     """The stretch of least edit distance, case aside, when that is at most ``share`` of the wanted
     length: the one that ends first, and of its starts the one nearest the wanted length, then the latest."""
     budget = int(len(wanted) * share)
-    pattern, codes = _codes(wanted), _codes(text)
+    pattern, codes = _codes(wanted), _codes(text) if codes is None else codes
     ends = _distances(pattern, codes, False)
     end = int(ends.argmin())
     if not len(wanted) or not end or ends[end] > budget or ends[end] >= len(wanted):
@@ -78,12 +80,14 @@ def place(text: str, answers: list[str], share: float = 0.25) -> list[tuple[int
     often than it occurs, is empty, or is too far from all stretches has no place."""
     left: dict[str, list[tuple[int, int]]] = {}
     known: dict[str, tuple[int, int] | None] = {}
-    out = []
+    codes, out = None, []
     for answer in answers:
         if answer not in left:
             found = regex.finditer(rf"(?<!\w){regex.escape(answer, literal_spaces=True)}(?!\w)", text) if answer else ()
             left[answer] = [m.span() for m in found][::-1]
-            known[answer] = None if left[answer] else nearest(text, answer, share)
+            if not left[answer] and codes is None:
+                codes = _codes(text)
+            known[answer] = None if left[answer] else nearest(text, answer, share, codes)
         if left[answer]:
             out.append((*left[answer].pop(), EXACT))
         elif known[answer]:
