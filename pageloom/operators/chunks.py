@@ -6,10 +6,8 @@ two explodes: no shuffle unless a summary table is joined in.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,26 +33,23 @@ class ChunkParams:
             raise ValueError("window_overlap must be smaller than window_size")
 
 
-def _counts(texts, tokenizer: str):
-    """Token counts of an array of texts."""
-    if tokenizer == "word":
-        return F.transform(texts, lambda t: tok.n_tokens(t))
-
-    @F.pandas_udf("array<bigint>")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = tok._encoding("byte_bpe_multi_50k.tiktoken")
-        for lists in batches:
-            yield pd.Series([[len(enc.encode_ordinary(t)) for t in ts] for ts in lists])
-
-    return count(texts)
+def _measured(df: DataFrame, params: ChunkParams) -> DataFrame:
+    """Token counts of the normalised sections and the first tokens of the article. Byte-pair tokens of both come
+    from one worker."""
+    norm, text = F.col("_norm"), F.col("markdown_content")
+    if params.tokenizer == "bpe":
+        df = df.withColumn("_m", tok.bpe_counts_and_lead(norm, text, params.summary_max_tokens))
+        return df.withColumns({"_count": F.col("_m.counts"), "_lead": F.col("_m.lead")}).drop("_m")
+    count = F.transform(norm, lambda t: tok.n_tokens(t, params.tokenizer))
+    return df.withColumns({"_count": count, "_lead": tok.truncate(text, params.summary_max_tokens, params.tokenizer)})
 
 
 def section_spans(articles: DataFrame, params: ChunkParams = ChunkParams()) -> DataFrame:
-    """``articles`` plus ``spans``: the sections long enough to keep, each with its normalised text and
+    """``articles`` plus ``_lead`` and ``spans``: the sections long enough to keep, each with its normalised text and
     approximate place in the article. The search starts after the previous kept section; skipped
     sections do not move the cursor."""
     df = articles.withColumn("_norm", F.transform("sections", lambda s: normalise(s["content"])))
-    df = df.withColumn("_count", _counts(F.col("_norm"), params.tokenizer))
+    df = _measured(df, params)
     items = F.filter(
         once(F.col("_norm"), lambda norm: once(F.col("_count"), lambda n: F.transform(
             "sections",
@@ -85,18 +80,26 @@ def section_spans(articles: DataFrame, params: ChunkParams = ChunkParams()) -> D
 
 
 def route_tiers(spans: DataFrame, params: ChunkParams = ChunkParams()) -> DataFrame:
-    """One row per chunk. Rows with a tier already set (summaries) pass through."""
+    """One row per chunk. Rows without a section (summaries) are one chunk each; without a token count they are
+    counted here, in the worker that makes the windows."""
     is_long = F.col("token_count") > params.window_threshold
     is_window = is_long & F.col("section_index").isNotNull()
     text = F.col("text")
-    spans = spans.withColumn("_tk", tok.tokens(F.when(is_window, text), params.tokenizer))
+    uncounted = F.col("token_count").isNull()
+    if params.tokenizer == "bpe":
+        made = tok.bpe_windows(F.when(uncounted | is_window, text), params.window_size, params.window_overlap, uncounted)
+        spans = spans.withColumn("_made", made)
+        windows, many = F.col("_made"), is_window | uncounted
+    else:
+        spans = spans.withColumn("_tk", tok.tokens(F.when(is_window, text), params.tokenizer))
+        windows, many = tok.windows_of(F.col("_tk"), params.window_size, params.window_overlap), is_window
     single = F.array(
         F.struct(
             F.lit(None).cast("int").alias("window"), text.alias("text"), F.col("token_count").alias("n"),
             F.lit(0).alias("start"), F.length(text).alias("end"),
         )
     )
-    pieces = F.when(is_window, tok.windows_of(F.col("_tk"), params.window_size, params.window_overlap)).otherwise(single)
+    pieces = F.when(many, windows).otherwise(single)
     df = spans.withColumn("_w", F.explode_outer(pieces))
     windowed = F.col("_w.window").isNotNull()
     kind = F.when(F.col("section_index").isNull(), SUMMARY).when(windowed, WINDOW).otherwise(SECTION)
@@ -128,9 +131,9 @@ def chunk_articles(
     """``articles(article_id, chapter_number, title, markdown_content, sections)`` to chunk rows."""
     df = section_spans(with_summary(articles, enrichment), params)
     if params.include_summaries:
-        lead = tok.truncate(F.col("markdown_content"), params.summary_max_tokens, params.tokenizer)
-        df = df.withColumn("_s", normalise(F.coalesce(F.nullif(F.col("summary"), F.lit("")), lead)))
-        df = df.withColumn("_n", tok.n_tokens(F.col("_s"), params.tokenizer))
+        df = df.withColumn("_s", normalise(F.coalesce(F.nullif(F.col("summary"), F.lit("")), F.col("_lead"))))
+        late = F.lit(None).cast("long")
+        df = df.withColumn("_n", late if params.tokenizer == "bpe" else tok.n_tokens(F.col("_s"), params.tokenizer))
         summary = F.struct(
             F.lit(None).cast("int").alias("section_index"), F.col("title").alias("heading"), F.col("_s").alias("text"),
             F.col("_n").alias("token_count"), F.lit(0).alias("char_start"), F.length("_s").alias("char_end"),
