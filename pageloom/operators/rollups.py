@@ -22,11 +22,12 @@ def guide_totals(articles: DataFrame, glossary: DataFrame) -> DataFrame:
 
 
 def enrichment_counts(mentions: DataFrame, entities: DataFrame, relationships: DataFrame) -> DataFrame:
-    """One row: unique entities, unique relationships, articles, and rows before deduplication."""
+    """One row: mentions, their articles, unique entities and unique relationships. Ids are counted once each, so
+    ``entities`` and ``relationships`` may be the rows before they are merged."""
     one = F.lit(1).alias("_one")
     m = mentions.agg(F.count(F.lit(1)).alias("mention_count"), F.count_distinct("article_id").alias("article_count"), one)
-    e = entities.agg(F.count(F.lit(1)).alias("entity_count"), one)
-    r = relationships.agg(F.count(F.lit(1)).alias("relationship_count"), one)
+    e = entities.agg(F.count_distinct("entity_id").alias("entity_count"), one)
+    r = relationships.agg(F.count_distinct("relationship_id").alias("relationship_count"), one)
     return m.join(e, "_one").join(r, "_one").drop("_one")
 
 
