@@ -21,6 +21,7 @@ Model = Callable[[list[str], int], list[list[tuple[str, str, dict | None]]]]
 
 SENTENCE_END = regex.compile(r"[.!?]+[\"')\]]*\s+|\n+")
 BLANK = regex.compile(r"\s+")
+WORD_CHAR = regex.compile(r"\w")
 
 
 def buffers(text: str, most: int) -> Iterator[tuple[int, int]]:
@@ -41,9 +42,9 @@ def buffers(text: str, most: int) -> Iterator[tuple[int, int]]:
 
 
 def _codes(text: str) -> np.ndarray:
-    """Lower-case code points, one for each character."""
+    """Lower-case code points, one for each character; a sigma does not look at its neighbours."""
     folded = text.lower()
-    if not text.isascii():
+    if len(folded) != len(text) or "\u03a3" in text:
         folded = "".join(low if len(low := c.lower()) == 1 else c for c in text)
     return np.frombuffer(folded.encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -59,38 +60,80 @@ def _distances(wanted: np.ndarray, text: np.ndarray, anchored: bool) -> np.ndarr
     return row
 
 
-def nearest(text: str, wanted: str, share: float, codes: np.ndarray | None = None) -> tuple[int, int] | None:
-    """The stretch of least edit distance, case aside, when that is at most ``share`` of the wanted
+def _ends(patterns: list[np.ndarray], codes: np.ndarray, most: int = 1 << 21) -> dict[int, tuple[int, int]]:
+    """Per number of a pattern the first place of ``codes`` where its best stretch ends, and the distance, as of
+    ``_distances``. Patterns of one length are worked side by side, at most ``most`` numbers at a time."""
+    out: dict[int, tuple[int, int]] = {}
+    by_size: dict[int, list[int]] = {}
+    for i, pattern in enumerate(patterns):
+        by_size.setdefault(len(pattern), []).append(i)
+    for size, members in by_size.items():
+        kind = np.int16 if len(codes) + size < 1 << 14 else np.int64
+        steps = np.arange(len(codes) + 1, dtype=kind)
+        at_once = max(1, most // (len(codes) + 1))
+        for first in range(0, len(members), at_once):
+            some = members[first : first + at_once]
+            wanted = np.array([patterns[i] for i in some], np.uint32).reshape(len(some), size)
+            row = np.zeros((len(some), len(codes) + 1), kind)
+            for k in range(size):
+                changed = np.minimum(row[:, 1:] + kind(1), row[:, :-1] + (codes != wanted[:, k : k + 1]))
+                row[:, 0] = k + 1
+                row[:, 1:] = changed
+                row -= steps
+                np.minimum.accumulate(row, axis=1, out=row)
+                row += steps
+            ends = row.argmin(axis=1)
+            out |= {i: (int(e), int(d)) for i, e, d in zip(some, ends, row[np.arange(len(some)), ends])}
+    return out
+
+
+def nearest(
+    text: str, wanted: str, share: float, codes: np.ndarray | None = None, known: tuple[int, int] | None = None
+) -> tuple[int, int] | None:
+    """``known`` is what ``_ends`` tells of the wanted text. The stretch of least edit distance, case aside, when that is at most ``share`` of the wanted
     length: the one that ends first, and of its starts the one nearest the wanted length, then the latest."""
     budget = int(len(wanted) * share)
     pattern, codes = _codes(wanted), _codes(text) if codes is None else codes
-    ends = _distances(pattern, codes, False)
-    end = int(ends.argmin())
-    if not len(wanted) or not end or ends[end] > budget or ends[end] >= len(wanted):
+    end, least = known or _ends([pattern], codes)[0]
+    if not len(wanted) or not end or least > budget or least >= len(wanted):
         return None
     back = _distances(pattern[::-1], codes[max(0, end - len(wanted) - budget) : end][::-1], True)
-    sizes = np.flatnonzero(back == ends[end])
+    sizes = np.flatnonzero(back == least)
     size = int(sizes[np.argmin(np.abs(sizes - len(wanted)), axis=0)])
     return (end - size, end) if size else None
 
 
+def _occurrences(text: str, answer: str) -> list[tuple[int, int]]:
+    """Places of the answer as whole words, none touching the one before. A plain search: a pattern for each answer would be
+    compiled anew each time."""
+    out, at = [], text.find(answer) if answer else -1
+    while at >= 0:
+        end = at + len(answer)
+        whole = not (at and WORD_CHAR.match(text, at - 1)) and not WORD_CHAR.match(text, end)
+        if whole:
+            out.append((at, end))
+        at = text.find(answer, end if whole else at + 1)
+    return out
+
+
 def place(text: str, answers: list[str], share: float = 0.25) -> list[tuple[int | None, int | None, str]]:
     """Place and status of each answer in order. The n-th time an answer is given it takes its n-th occurrence
     as whole words; an answer without an occurrence takes the nearest stretch; one that is given more
     often than it occurs, is empty, or is too far from all stretches has no place."""
     left: dict[str, list[tuple[int, int]]] = {}
     known: dict[str, tuple[int, int] | None] = {}
-    codes, out = None, []
     for answer in answers:
         if answer not in left:
-            found = regex.finditer(rf"(?<!\w){regex.escape(answer, literal_spaces=True)}(?!\w)", text) if answer else ()
-            left[answer] = [m.span() for m in found][::-1]
-            if not left[answer] and codes is None:
-                codes = _codes(text)
-            known[answer] = None if left[answer] else nearest(text, answer, share, codes)
+            left[answer] = _occurrences(text, answer)[::-1]
+    if lost := [answer for answer, spans in left.items() if not spans]:
+        codes = _codes(text)
+        ends = _ends([_codes(answer) for answer in lost], codes)
+        known = {answer: nearest(text, answer, share, codes, ends[i]) for i, answer in enumerate(lost)}
+    out = []
+    for answer in answers:
         if left[answer]:
             out.append((*left[answer].pop(), EXACT))
-        elif known[answer]:
+        elif known.get(answer):
             out.append((*known[answer], FUZZY))
             known[answer] = None
         else:

@@ -71,3 +71,10 @@ def test_ends_of_many_patterns_at_once():
             row = passes._distances(pattern, codes, False)
             assert ends[i] == (int(row.argmin()), int(row.min()))
     assert passes._ends([passes._codes("ab")], passes._codes(""))[0] == (0, 2)
+
+
+def test_occurrences_are_those_of_a_pattern():
+    text = "an anan an\u0301 an_ (an) an an-an é an\U0001f600an 9an aa aaa a a a an"
+    for answer in ("an", "a", "aa", "a a", "an an", "an-an", "é", " ", "(an)", "", "\U0001f600", "an\u0301", "zz"):
+        found = passes.regex.finditer(rf"(?<!\w){passes.regex.escape(answer, literal_spaces=True)}(?!\w)", text) if answer else ()
+        assert passes._occurrences(text, answer) == [m.span() for m in found]
