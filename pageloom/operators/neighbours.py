@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.operators.vectors import _best, _matrix, _ranked
+from pageloom.operators.vectors import _best, _matrix, _ranked, products
 from pageloom.session import shared_path, written
 
 #: Bytes of the sample that centres are fitted on, and of the vectors or queries that one task compares at a time.
@@ -56,17 +56,25 @@ def _whole(df: DataFrame) -> DataFrame:
     return df.filter(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & sound)
 
 
+def nearest(rows: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each row and the similarity to it; products are made in runs of rows."""
+    own, sims = np.empty(len(rows), np.int64), np.empty(len(rows))
+    for at, part in products(rows, centres):
+        own[at : at + len(part)] = part.argmax(axis=1)
+        sims[at : at + len(part)] = part.max(axis=1)
+    return own, sims
+
+
 def fit_centres(sample: np.ndarray, cells: int, rounds: int = 12) -> np.ndarray:
     """Unit centres by rounds of assignment and mean; a centre without members moves to the row that is
     farthest from its own."""
     centres = sample[np.random.default_rng(7).permutation(len(sample))[:cells]].copy()
     for _ in range(rounds):
-        sims = sample @ centres.T
-        own = sims.argmax(axis=1)
+        own, sims = nearest(sample, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, own, sample)
         empty = np.flatnonzero(np.bincount(own, minlength=len(centres)) == 0)
-        sums[empty] = sample[np.argsort(sims.max(axis=1), kind="stable")[: len(empty)]]
+        sums[empty] = sample[np.argsort(sims, kind="stable")[: len(empty)]]
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
         centres = np.where(norms == 0, centres, sums / np.where(norms == 0, 1.0, norms))
     return centres
@@ -79,7 +87,7 @@ def choose_probes(sample: np.ndarray, centres: np.ndarray, recall: float, k: int
     sims[np.arange(len(asked)), np.arange(len(asked))] = -2.0
     near = np.argsort(-sims, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
     place = np.argsort(np.argsort(-(asked @ centres.T), axis=1, kind="stable"), axis=1, kind="stable")
-    needed = np.take_along_axis(place, (sample @ centres.T).argmax(axis=1)[near], axis=1).ravel()
+    needed = np.take_along_axis(place, nearest(sample, centres)[0][near], axis=1).ravel()
     if not len(needed):
         return len(centres), 1.0
     reached = np.cumsum(np.bincount(needed, minlength=len(centres))) / len(needed)
@@ -113,7 +121,7 @@ def build_vector_index(
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield pdf.assign(cell=(_matrix(pdf["embedding"]) @ shared.value.T).argmax(axis=1).astype(np.int32))
+                yield pdf.assign(cell=nearest(_matrix(pdf["embedding"]), shared.value)[0].astype(np.int32))
 
     numbered = rows.withColumn("_n", F.monotonically_increasing_id())
     ddl = f"id {rows.schema['id'].dataType.simpleString()}, embedding array<double>, _n long, cell int"

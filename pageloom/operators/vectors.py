@@ -17,6 +17,8 @@ DIMENSIONS = {"text-embedding-3-small": 1536, "text-embedding-3-large": 3072}
 
 #: Bytes of query vectors that one pass over the vectors hands to every task.
 PASS_BYTES = 32 << 20
+#: Bytes of products of queries and vectors that a worker holds at a time.
+PRODUCT_BYTES = 8 << 20
 
 
 def hashed_words(batches: Iterator[pd.DataFrame], dims: int) -> Iterator[pd.DataFrame]:
@@ -79,6 +81,13 @@ def embedding_cost(chunks: DataFrame, model_id: str = "text-embedding-3-small")
     ).select("*", F.lit(model_id).alias("model"), (F.col("total_tokens") * F.lit(price)).alias("estimated_cost_usd"))
 
 
+def products(left: np.ndarray, right: np.ndarray, most: int = PRODUCT_BYTES) -> Iterator[tuple[int, np.ndarray]]:
+    """``left @ right.T`` in runs of rows of at most ``most`` bytes (one row at least), each with its first row."""
+    step = max(1, most // (8 * max(1, len(right))))
+    for at in range(0, len(left), step):
+        yield at, left[at : at + step] @ right.T
+
+
 def _matrix(vectors) -> np.ndarray:
     m = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
     norms = np.linalg.norm(m, axis=1, keepdims=True)
@@ -87,10 +96,11 @@ def _matrix(vectors) -> np.ndarray:
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, digits: int | None) -> pd.DataFrame:
     """Top k per query within one batch: similarity down, id up. Each row is cut a little below its k-th value;
-    what stays is summed anew pair by pair, so that a similarity does not depend on the shape of its block."""
+    what stays is summed anew pair by pair, so that a similarity does not depend on the shape of its block.
+    Products are made for a run of queries at a time, so memory does not grow with queries times vectors."""
     margin = 1e-9 if digits is None else 10.0**-digits + 1e-9
     found, sims = [], []
-    for query, row in zip(queries, queries @ vectors.T):
+    for query, row in ((queries[at + i], row) for at, part in products(queries, vectors) for i, row in enumerate(part)):
         places = np.arange(len(row))
         if len(row) > k:
             places = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k] - margin)

@@ -1,10 +1,12 @@
 """The approximate lookup against the exact one: recall, whole lists, blocks, odd rows."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
-from pageloom.operators.neighbours import VectorIndex, approximate_top_k, build_vector_index
-from pageloom.operators.vectors import cosine_top_k
+from pageloom.operators.neighbours import VectorIndex, approximate_top_k, build_vector_index, nearest
+from pageloom.operators.vectors import _best, cosine_top_k
 from pageloom.session import shared_path
 
 VECTORS, QUERIES = "id string, embedding array<double>, cell string", "query_id int, embedding array<double>, slot int"
@@ -72,3 +74,16 @@ def test_passes_agree(tables):
     kept = vectors.filter("id not in ('none', 'nan', 'gap', 'narrow', 'empty')")
     few = queries.filter("query_id >= 0")
     assert pairs(cosine_top_k(few, kept, 5, max_broadcast=7)) == pairs(cosine_top_k(few, kept, 5))
+
+
+def test_memory_does_not_grow_with_queries_times_vectors():
+    rng = np.random.default_rng(5)
+    queries, vectors = rng.normal(size=(3000, 4)), rng.normal(size=(4000, 4))
+    tracemalloc.start()
+    found = _best(np.arange(3000), queries, np.arange(4000), vectors, 3, None)
+    own, sims = nearest(queries, vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = queries @ vectors.T
+    assert peak < 8 * 3000 * 4000 / 3 and (own == whole.argmax(axis=1)).all() and np.allclose(sims, whole.max(axis=1))
+    assert (found["id"].to_numpy().reshape(3000, 3) == np.argsort(-whole, axis=1, kind="stable")[:, :3]).all()
