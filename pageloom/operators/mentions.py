@@ -234,5 +234,16 @@ def merge_entities(mentions: DataFrame) -> DataFrame:
     )
 
 
+def entity_names(mentions: DataFrame) -> DataFrame:
+    """``(entity_id, name)`` as in ``merge_entities``. The place of a mention is one whole number, for which Spark combines in
+    hash maps where it would sort all mentions for a struct; one row per entity and name is left for picking the first."""
+    place = F.lit(0).cast("decimal(38,0)")
+    for column in ("chapter_number", "article_number", "position"):
+        number = F.coalesce(F.col(column).cast("long") + F.lit(1 << 31) + 1, F.lit(0).cast("long"))
+        place = (place * F.lit(10**10) + number).cast("decimal(38,0)")
+    found = mentions.groupBy("entity_id", "name").agg(F.min(place).alias("_at"))
+    return found.groupBy("entity_id").agg(F.min_by("name", "_at").alias("name"))
+
+
 def entities_by_type(df: DataFrame, entity_type: str) -> DataFrame:
     return df.filter(F.col("entity_type") == entity_type)
