@@ -83,14 +83,14 @@ def export_all(spark, sf):
     """Every node, edge, chunk and vector file, read back and counted; chunk records hold their entity ids."""
     out, arts, found, df = folder(spark), st.articles(spark, sf), written(st.mentions(spark, sf)), written(chunks(spark, sf))
     links = written(link_mentions(df, found))
-    df = written(with_entity_ids(df, links))
+    linked = with_entity_ids(df, links)  # its texts are read by the records only and are not written again
     rels = rl.collect_relationships(rl.resolve_relationships(st.raw_relationships(found), found))
     graph = export_graph({
         "nodes_chapters": gr.chapter_nodes(st.chapters(spark, sf)), "nodes_articles": gr.article_nodes(arts, st.enrichment(spark, sf)),
         "nodes_entities": gr.entity_nodes(merge_entities(found)), "nodes_glossary": gr.glossary_nodes(st.glossary(spark, sf)),
-        "nodes_chunks": gr.chunk_nodes(df), "rels_contains": gr.contains_edges(arts), "rels_mentions": gr.mentions_edges(found),
+        "nodes_chunks": gr.chunk_nodes(linked), "rels_contains": gr.contains_edges(arts), "rels_mentions": gr.mentions_edges(found),
         "rels_semantic": gr.semantic_edges(rels), "rels_article_chunk": gr.article_chunk_edges(df), "rels_chunk_entity": gr.chunk_entity_edges(links)}, out)
-    paths = export_chunks(df, out, embed_chunks(df))
+    paths = export_chunks(linked, out, embed_chunks(df))
     records = spark.read.schema("chunk_id string, entity_ids array<string>").json(paths["chunks"])
     tables = {name: rd.read_graph_csv(spark, path) for name, path in graph.items()}
     tables |= {"chunks": records, "embeddings": rd.read_embeddings(spark, paths["embeddings"])}
