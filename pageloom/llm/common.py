@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pageloom.session import prefer
+
 #: A word of the token-free operators: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes that an entry of a dictionary takes beside its key and value.
@@ -55,6 +57,12 @@ def give_back() -> None:
         trim(0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to the Python workers in batches of about 4 MB unless the session has its own limit: Spark and
+    the worker both hold a batch, beside the one that is being made."""
+    prefer(spark, "spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 class Memo(dict):
     """A function's results by argument, in two generations of about ``room`` bytes each: it saves work only.
 

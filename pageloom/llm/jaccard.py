@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import hold_nothing
+from pageloom.llm.common import hold_nothing, small_batches
 from pageloom.llm.components import connected
 from pageloom.llm.words import mix, places, slices, windows, word_hashes
 from pageloom.session import written
@@ -31,8 +31,8 @@ SHINGLE = 5
 #: Similarity from which documents are linked: intersection / union >= 3/4, so the intersection is at
 #: least 3/7 of the summed sizes.
 SIMILAR = (3, 4)
-#: Members of a tree node; members in a block of a group; shingles in a block of a cluster. What is larger
-#: is compared in pairs of blocks.
+#: Members of a tree node; members in a block of a group or cluster; shingles in a block of a cluster. What is
+#: larger is compared in pairs of blocks.
 FANOUT = 8
 MEMBERS = 1024
 BLOCK = 1_000_000
@@ -40,6 +40,9 @@ BLOCK = 1_000_000
 NAMED = 64
 #: Bytes of text whose shingles a task holds at a time; a run takes some twenty times as much.
 RUN = 1 << 21
+#: Bytes of bitmaps that are compared at a time; pairs that are read from a list at a time.
+WIDE = 1 << 22
+PIECE = 1 << 14
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -219,8 +222,9 @@ def _possible(x, y, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     (xm, xl, xh, xe, xp), (ym, yl, yh, ye, yp) = x, y
     num, den = SIMILAR
     ok = (den * xh[i] >= num * yl[j]) & (den * yh[j] >= num * xl[i]) & ~((xp[i] == yp[j]) & (xp[i] >= 0))
-    for a in range(0, len(i), 1 << 15):
-        k = np.flatnonzero(ok[a : a + (1 << 15)]) + a
+    step = max(1, WIDE // max(1, 8 * xm.shape[1]))
+    for a in range(0, len(i), step):
+        k = np.flatnonzero(ok[a : a + step]) + a
         common = np.bitwise_count(xm[i[k]] & ym[j[k]]).sum(1, dtype=np.int64)
         overlap = common + np.minimum(xe[i[k]], ye[j[k]])
         ok[k] = (num + den) * overlap >= num * (xl[i[k]] + yl[j[k]])
@@ -231,7 +235,7 @@ def traverse(one: Tree, two: Tree | None = None) -> tuple[np.ndarray, np.ndarray
     """Member pairs of a tree with itself, or of two trees, that no pair of nodes above them rules out."""
     other = two or one
     level, down = len(one.levels) - 1, len(other.levels) - 1
-    i, j = np.meshgrid(np.arange(len(one.levels[level][0])), np.arange(len(other.levels[down][0])), indexing="ij")
+    i, j = np.meshgrid(*(np.arange(len(x[0]), dtype=np.int32) for x in (one.levels[level], other.levels[down])), indexing="ij")
     i, j = i.ravel(), j.ravel()
     while True:
         if two is None:
@@ -254,9 +258,9 @@ def traverse(one: Tree, two: Tree | None = None) -> tuple[np.ndarray, np.ndarray
 
 
 def _children(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    below = (i[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-    beside = np.repeat(j, FANOUT)
-    return below[below < n], beside[below < n]
+    below = (i[:, None] * FANOUT + np.arange(FANOUT, dtype=np.int32)).ravel()
+    there = below < n
+    return below[there], np.repeat(j, FANOUT)[there]
 
 
 def _folded(bitmaps: np.ndarray) -> np.ndarray:
@@ -279,7 +283,7 @@ def tree_pairs(sizes: np.ndarray, maps: list[np.ndarray], parts: np.ndarray) ->
 
     Linked sets differ in size by less than a factor of two, so their bitmaps have one width or the next:
     there is a tree for each width, and the wider of two is folded."""
-    order = np.argsort(sizes, kind="stable")
+    order = np.argsort(sizes, kind="stable").astype(np.int32)
     widths = np.array([len(maps[k]) for k in order])
     out: list[tuple[np.ndarray, np.ndarray]] = []
     trees = {}
@@ -338,6 +342,17 @@ class Forest:
     def join(self, p: int, q: int) -> None:
         self.parent[p] = q
 
+    def apart(self, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The pairs in their order, without those whose members are joined when their piece of the list begins."""
+        for a in range(0, len(i), PIECE):
+            some, others = i[a : a + PIECE], j[a : a + PIECE]
+            top = np.array(self.parent, np.int64)
+            while not np.array_equal(top, above := top[top]):
+                top = above
+            top = top[self.parts]
+            far = top[some] != top[others]
+            yield from zip(some[far].tolist(), others[far].tolist())
+
     def _top(self, p: int) -> int:
         parent = self.parent
         while parent[p] != p:
@@ -356,6 +371,7 @@ def _unpacked(column: pa.Array) -> list[np.ndarray]:
 def search_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``(grp, one, two, block, rep, n, bitmap)`` of pairs of blocks to pairs ``(x, y)`` that may be
     linked: a spanning forest of all such pairs."""
+    hold_nothing()
     links: list[tuple[int, int]] = []
     for run in runs(batches, 3):
         apart = run.column(1)[0] != run.column(2)[0]
@@ -364,7 +380,7 @@ def search_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if apart:  # pairs within one block belong to that block's own run
             i, j = i[block[i] != block[j]], j[block[i] != block[j]]
         forest = Forest(np.arange(len(reps)))
-        for a, b in zip(i.tolist(), j.tolist()):
+        for a, b in forest.apart(i, j):
             if tops := forest.joins(a, b):
                 forest.join(*tops)
                 links.append((min(reps[a], reps[b]), max(reps[a], reps[b])))
@@ -379,6 +395,7 @@ def search_clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     What the trees leave is compared exactly, the likeliest pairs first. A link joins two components, and
     pairs within one component need no comparison, so the links found are those of a spanning forest."""
+    hold_nothing()
     num, den = SIMILAR
     for run in runs(batches, 3):
         apart = run.column(1)[0] != run.column(2)[0]
@@ -392,7 +409,7 @@ def search_clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             i, j = i[block[i] != block[j]], j[block[i] != block[j]]
         likely = np.argsort(-_likeness(maps, sizes, i, j), kind="stable")
         links = []
-        for a, b in zip(i[likely].tolist(), j[likely].tolist()):
+        for a, b in forest.apart(i[likely], j[likely]):
             if tops := forest.joins(a, b):
                 both = shared(sets[a], sets[b])
                 if den * both >= num * (sizes[a] + sizes[b] - both) and both:
@@ -405,9 +422,20 @@ def search_clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _likeness(maps: list[np.ndarray], sizes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Common bits against summed sizes, to order pairs by."""
     out = np.zeros(len(i))
-    for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
-        n = min(len(maps[a]), len(maps[b]))
-        out[k] = np.bitwise_count(maps[a][:n] & maps[b][:n]).sum() / (sizes[a] + sizes[b]) * (len(maps[a]) / n)
+    widths = np.array([len(m) for m in maps])
+    place = np.zeros(len(maps), np.int64)
+    of = {}
+    for width in np.unique(widths).tolist():
+        mine = np.flatnonzero(widths == width)
+        place[mine] = np.arange(len(mine))
+        of[width] = np.stack([maps[k] for k in mine])
+    for one, two in ((x, y) for x in of for y in of):
+        both = np.flatnonzero((widths[i] == one) & (widths[j] == two))
+        n = min(one, two)
+        for a in range(0, len(both), step := max(1, WIDE // (8 * n))):
+            k = both[a : a + step]
+            common = np.bitwise_count(of[one][place[i[k]], :n] & of[two][place[j[k]], :n]).sum(1, dtype=np.int64)
+            out[k] = common / (sizes[i[k]] + sizes[j[k]]) * (one / n)
     return out
 
 
@@ -425,7 +453,7 @@ def cluster_links(clusters: DataFrame, texts: DataFrame) -> DataFrame:
     Clusters of one block are compared whole. For the others every block is compared in itself and with the
     cluster's first member, which joins most of a large group of near copies; then all pairs of blocks of
     the clusters that are still of several components."""
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("long").alias("blocks"), F.min_by("rep", "rep").alias("first"))
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.greatest(F.sum("n") / BLOCK, F.count(F.lit(1)) / MEMBERS)).cast("long").alias("blocks"), F.min_by("rep", "rep").alias("first"))
     told = written(clusters.join(sizes, "cluster").withColumn("block", F.expr("pmod(xxhash64(rep), blocks)")), "clusters")
     bridges = told.where("blocks > 1 and rep = first").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
     own = told.where("blocks = 1 or rep <> first").union(bridges.select(told.columns))
@@ -462,6 +490,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Equal sets meet by name first, so copies cost one row each, and the texts of a cluster are moved once.
     Groups are sorted and read as streams. Groups and clusters beyond a block are compared in pairs of
     blocks, never as a whole."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = written(rows.mapInArrow(describe, "id long, n long, set_a long, set_b long, bitmap binary"), "sets")
     texts = rows.where("id is not null and text is not null")

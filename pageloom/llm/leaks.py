@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pageloom.llm.common import hold_nothing, small_batches
 from pageloom.llm.words import slices
 
 #: Edits allowed for each character of an item. At 8 % pieces have about 12 characters, which chance hits seldom meet.
@@ -148,6 +149,7 @@ def marked(
     empty items table finds nothing. All rows and columns stay as they are, repeated and null ones too.
 
     There is no shuffle. Items are sent to the tasks in blocks of about a million characters."""
+    small_batches(docs.sparkSession)
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"), F.expr(f"cast(array() as {LEAKS})").alias("leaks"))
     shape = T.StructType([*df.schema.fields[:2], T.StructField("leaks", T.ArrayType(T.StructType([
         T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()), T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())])))])
@@ -155,6 +157,7 @@ def marked(
     for block in _blocks(items, item_id_col, item_text_col):
 
         def find(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            hold_nothing()
             match = matcher(block, rate).match
             for batch in batches:
                 for part in slices(batch, 1):

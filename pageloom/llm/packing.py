@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.llm.bpe import PIECES, byte_level, byte_symbols
-from pageloom.llm.common import Memo, hold_alone
+from pageloom.llm.common import Memo, hold_alone, small_batches
 from pageloom.llm.words import slices
 from pageloom.session import written
 
@@ -363,6 +363,7 @@ def pack_documents(
     The driver gets the histogram of lengths, at most ``capacity`` rows. Ranks within a length are counted
     in buckets of about a million pieces at most, so one frequent length does not land in one task."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     made = rows.mapInArrow(cut_into_pieces(tokenizer, capacity, end_id), f"id {kind}, piece int, start long, length long, ids_crc32 long")

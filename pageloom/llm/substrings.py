@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.common import hold_nothing
+from pageloom.llm.common import hold_nothing, small_batches
 from pageloom.llm.words import mix, places, slices, windows, word_hashes
 
 WINDOW = 20
@@ -107,6 +107,7 @@ def find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Of equal windows within the run of rows at hand only the earliest is sent to meet its equals
     elsewhere; the others are known to be removed and are spread."""
+    hold_nothing()
     for batch in batches:
         for part in slices(batch, 1):
             hashes, counts = word_hashes(part.column(1))
@@ -197,6 +198,7 @@ def covered(n: int, starts: np.ndarray) -> np.ndarray:
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(id, text, copy, marks, row)`` to ``(id, text, n_words, n_removed, kept, row)``."""
+    hold_nothing()
     for batch in batches:
         for part in slices(batch, 1):
             hashes, counts = word_hashes(part.column(1))
@@ -243,6 +245,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Shuffles: the texts once, by id (the three passes over them share it); one row of about 20 bytes for
     each anchor; one row for each window around a repeated anchor. Both row streams are sorted and read
     as streams, so no group of equals is held in memory."""
+    small_batches(docs.sparkSession)
     other = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), other.alias("row"))
     # the three passes start from the same rows, carried columns too, so that Spark shuffles the texts once

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import SLOT, hold_alone
+from pageloom.llm.common import SLOT, hold_alone, small_batches
 from pageloom.llm.words import slices
 
 DECAY = 0.6
@@ -355,6 +355,7 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
     There is no shuffle; the model is of fixed size."""
     from pyspark.sql import types as T
 
+    small_batches(docs.sparkSession)
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
     shape = T.StructType([df.schema["row"], T.StructField("score", T.DoubleType())])
     return df.mapInArrow(_scorer(docs.sparkSession.sparkContext.broadcast(model)), shape)

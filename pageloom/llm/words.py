@@ -8,8 +8,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Bytes hashed at a time; words that cross the mark stay whole.
-BLOCK = 1 << 21
+#: Bytes hashed at a time; words that cross the mark stay whole. A worker keeps 16 times as much, and needs as much again.
+BLOCK = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -36,7 +36,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.cumprod(np.concatenate([one, np.full(n - 1, x, np.uint64)])) for x in (_BASE, _BACK))
 
 
-def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``most`` bytes of text each, one row at least."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), np.int64)
     run = np.cumsum(sizes) // most
