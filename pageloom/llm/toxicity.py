@@ -11,10 +11,11 @@ scores as its worst sentence.
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 from sys import getsizeof
 
 import numpy as np
@@ -38,6 +39,7 @@ _GAP = 31
 #: Characters that are written for letters.
 _ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 _ENDS = (".", "!", "?")
+_MANY = 32
 
 
 class _Letters(dict):
@@ -54,6 +56,8 @@ class _Letters(dict):
 
 
 _LETTERS = _Letters()
+_LINES = _Letters({ord("\n"): "\n"})
+_BLANK = bytes([ord("a") + _GAP])
 
 
 @lru_cache(maxsize=64)
@@ -64,25 +68,32 @@ def _triples(length: int) -> tuple[np.ndarray, np.ndarray]:
     return places, (DECAY ** (places[:, 2] - places[:, 0] - 2)).astype(np.float32)
 
 
-def _stretches(word: str) -> list[bytes]:
-    """A word in classes of letters, in stretches of bounded length; gaps at its ends do not count."""
-    letters = word.translate(_LETTERS).encode("latin-1", "replace").strip(bytes([ord("a") + _GAP]))
+def _cut(letters: bytes) -> tuple[bytes, ...]:
     if len(letters) <= STRETCH:
-        return [letters]
-    return [letters[a : a + STRETCH] for a in range(0, len(letters) - STRETCH // 2, STRETCH // 2)]
+        return (letters,)
+    return tuple(letters[a : a + STRETCH] for a in range(0, len(letters) - STRETCH // 2, STRETCH // 2))
+
+
+def _stretches(word: str) -> tuple[bytes, ...]:
+    """A word in classes of letters, in stretches of bounded length; gaps at its ends do not count."""
+    return _cut(word.translate(_LETTERS).encode("latin-1", "replace").strip(_BLANK))
 
 
 def _occurrences(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Triple numbers and weights, a row for each stretch of one length."""
+    """Triple numbers and weights, a column for each stretch of one length."""
     places, weights = _triples(group.shape[1])
-    codes = group.astype(np.int32) - ord("a")
-    a, b, c = (codes[:, places[:, k]] for k in range(3))
-    fine = (a != _GAP) & (b != _GAP) & (c != _GAP)
-    return np.where(fine, (a * _CLASSES + b) * _CLASSES + c, 0), np.where(fine, weights, 0).astype(np.float32)
+    codes = group.T.astype(np.int32) - ord("a")
+    a, b, c = (codes[places[:, k]] for k in range(3))
+    ids, weights = (a * _CLASSES + b) * _CLASSES + c, np.repeat(weights[:, None], len(group), 1)
+    if (codes == _GAP).any():
+        fine = (a != _GAP) & (b != _GAP) & (c != _GAP)
+        return np.where(fine, ids, 0), np.where(fine, weights, 0).astype(np.float32)
+    return ids, weights
 
 
 def _norms(ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Square root of each row's kernel value with itself: weights of one triple add before they are squared."""
+    """Square root of each column's kernel value with itself: weights of one triple add before they are squared."""
+    ids, weights = np.ascontiguousarray(ids.T), np.ascontiguousarray(weights.T)
     n, t = ids.shape
     if not t:
         return np.zeros(n, np.float32)
@@ -101,32 +112,66 @@ def triple_vectors(words: list[str]) -> np.ndarray:
     for i, word in enumerate(words):
         for stretch in _stretches(word):
             ids, weights = _occurrences(np.frombuffer(stretch, np.uint8)[None])
-            np.add.at(out[i], ids[0], weights[0])
+            np.add.at(out[i], ids[:, 0], weights[:, 0])
     return out / np.maximum(np.sqrt((out**2).sum(1, keepdims=True)), 1e-9)
 
 
-def similarities(words: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """Normalised kernel of words with landmarks, given as triples by landmarks; of a long word the largest."""
-    out = np.zeros((len(words), landmarks.shape[1]), np.float32)
-    by: dict[int, tuple[list[int], list[bytes]]] = {}
-    for i, word in enumerate(words):
-        for stretch in _stretches(word):
+class Marks:
+    """Landmarks by triple: for each triple the landmarks that hold it, one after the other. Few triples are in any."""
+
+    def __init__(self, landmarks: np.ndarray):
+        triples, self.columns = np.nonzero(landmarks)
+        self.values = landmarks[triples, self.columns]
+        self.many = np.bincount(triples, minlength=len(landmarks))
+        self.begin = np.cumsum(self.many) - self.many
+        self.held, self.width = self.many > 0, landmarks.shape[1]
+
+    def sums(self, ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Products of columns of triples with all landmarks, a row for each; its triples are added in their order."""
+        n = ids.shape[1]
+        out = np.zeros(n * self.width, np.float32)
+        at = np.flatnonzero(self.held[ids])
+        found = ids.ravel()[at]
+        many = self.many[found]
+        ends = np.cumsum(many)
+        entry = np.repeat(self.begin[found] - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)
+        np.add.at(out, np.repeat(at % n * self.width, many) + self.columns[entry], np.repeat(weights.ravel()[at], many) * self.values[entry])
+        return out.reshape(n, self.width)
+
+
+def stretch_values(cut: list[tuple[bytes, ...]], marks: Marks, least: float = 0.0) -> np.ndarray:
+    """Normalised kernel of words, given by their stretches, with landmarks. Rows of words that come nowhere near
+    ``least`` may be left zero: a norm is at least that of weights which never add up, so most need not be known."""
+    out = np.zeros((len(cut), marks.width), np.float32)
+    by: dict[tuple[int, bool], tuple[list[int], list[bytes]]] = {}
+    for i, stretches in enumerate(cut):
+        for stretch in stretches:
             if len(stretch) >= 3:
-                owners, found = by.setdefault(len(stretch), ([], []))
+                owners, found = by.setdefault((len(stretch), len(stretches) == 1), ([], []))
                 owners.append(i)
                 found.append(stretch)
-    for length, (owners, found) in by.items():
-        for a in range(0, len(found), 4096):
-            group = np.frombuffer(b"".join(found[a : a + 4096]), np.uint8).reshape(-1, length)
+    for (length, alone), (owners, found) in by.items():
+        for a in range(0, len(found), 2048):
+            group = np.frombuffer(b"".join(found[a : a + 2048]), np.uint8).reshape(-1, length)
+            own = np.array(owners[a : a + 2048])
             ids, weights = _occurrences(group)
-            values = np.zeros((len(group), landmarks.shape[1]), np.float32)
-            for t in range(ids.shape[1]):
-                values += weights[:, t, None] * landmarks[ids[:, t]]
+            values = marks.sums(ids, weights)
+            if alone:
+                may = values.max(1, initial=0) >= 0.999 * least * np.sqrt((weights * weights).sum(0))
+                own, ids, weights, values = own[may], ids[:, may], weights[:, may], values[may]
             values /= np.maximum(_norms(ids, weights), 1e-9)[:, None]
-            np.maximum.at(out, owners[a : a + 4096], values)
+            if alone:
+                out[own] = values
+            else:
+                np.maximum.at(out, own, values)
     return out
 
 
+def similarities(words: list[str], landmarks: np.ndarray) -> np.ndarray:
+    """Normalised kernel of words with landmarks, given as triples by landmarks; of a long word the largest."""
+    return stretch_values([_stretches(w) for w in words], Marks(landmarks))
+
+
 @dataclass
 class Model:
     """Landmarks by triples; the machine in landmark values; the scale that makes a probability."""
@@ -147,6 +192,7 @@ class Reader:
 
     def __init__(self, landmarks: np.ndarray, room: int = 24 << 20):
         self.landmarks, self.room = landmarks, room
+        self.marks = Marks(landmarks)
         self.near: dict[str, np.ndarray | None] = {}
         self.old: dict[str, np.ndarray | None] = {}
         self.held = 0
@@ -167,33 +213,48 @@ class Reader:
             else:
                 new.append(w)
         for a in range(0, len(new), 20_000):
+            # words that differ in case, signs at their ends and the like only are one to the kernel
+            kinds: dict[tuple[bytes, ...], list[str]] = defaultdict(list)
             some = new[a : a + 20_000]
-            values = similarities(some, self.landmarks)
-            close = values.max(1) >= NEAR
-            for i, word in enumerate(some):
-                # a copy, as a view would keep the values of all these words
-                self.keep(word, values[i].copy() if close[i] else None)
+            for word, letters in zip(some, "\n".join(some).translate(_LINES).encode("latin-1", "replace").split(b"\n")):
+                kinds[_cut(letters.strip(_BLANK))].append(word)
+            values = stretch_values(list(kinds), self.marks, NEAR)
+            close = (values.max(1) >= NEAR).tolist()
+            for i, same in enumerate(kinds.values()):
+                for word in same:
+                    # a copy, as a view would keep the values of all these words
+                    self.keep(word, values[i].copy() if close[i] else None)
 
     def sentences(self, texts: list[str]) -> list[np.ndarray]:
         """For each text the vectors of its sentences that have a word near a landmark; all others are zero."""
         split = [spelled_out(t.lower().split()) for t in texts]
-        self.learn({w for words in split for w in words})
-        near, out = self.near, []
-        for words in split:
-            values = list(map(near.__getitem__, words))
-            rows: list[np.ndarray] = []
-            if any(v is not None for v in values):
-                now = None
-                for word, value in zip(words, values):
-                    if value is not None:
-                        now = value if now is None else np.maximum(now, value)
-                    if now is not None and word.endswith(_ENDS):
-                        rows.append(now)
-                        now = None
-                if now is not None:
-                    rows.append(now)
-            out.append(np.stack(rows) if rows else np.zeros((0, self.landmarks.shape[1]), np.float32))
-        return out
+        flat = list(chain.from_iterable(split))
+        words = set(flat)
+        self.learn(words)
+        close = [w for w in words if self.near[w] is not None]
+        if not close:
+            return [np.zeros((0, self.marks.width), np.float32) for _ in texts]
+        table = np.stack([self.near[w] for w in close])
+        # a word's number among the close ones or -1, twice, and 1 more if it ends a sentence
+        number = dict.fromkeys(words, -2) | {w: 2 * i for i, w in enumerate(close)}
+        number.update([(w, n + 1) for w, n in number.items() if w[-1] in _ENDS])
+        numbers = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+        bounds = np.cumsum([0, *map(len, split)])
+        last = (numbers & 1).astype(bool)
+        last[bounds[1:][bounds[1:] > 0] - 1] = True
+        at = np.flatnonzero(numbers >= 0)
+        begin = np.flatnonzero(np.diff((np.cumsum(last) - last)[at], prepend=-1))
+        which, many = numbers[at] >> 1, np.diff(begin, append=len(at))
+        rows = table[which[begin]]
+        # the second words of all sentences, then the third ones and so on; the rest of a long sentence by itself
+        for k in range(1, _MANY):
+            on = np.flatnonzero(many > k)
+            rows[on] = np.maximum(rows[on], table[which[begin[on] + k]])
+        for i in np.flatnonzero(many > _MANY).tolist():
+            for c in range(begin[i] + _MANY, begin[i] + many[i], 4096):
+                np.maximum(rows[i], table[which[c : min(c + 4096, begin[i] + many[i])]].max(0), out=rows[i])
+        cuts = np.searchsorted(at[begin], bounds)
+        return [rows[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
 
 
 def spelled_out(words: list[str]) -> list[str]:

@@ -125,3 +125,35 @@ def test_memory_stays_below_its_bound():
     for i in rng.integers(0, 3000, 20_000).tolist():
         assert memo[f"w{i}"] == f"w{i}w{i}".encode()
         assert sum(getsizeof(k) + getsizeof(v) + SLOT for k, v in memo.items()) <= 50_000 + 400
+
+
+def test_one_look_per_kind_of_word(monkeypatch):
+    """Words that are one to the kernel are looked at once, and only near ones have their norm taken."""
+    looked, normed = [], []
+    occurrences, norms = toxicity._occurrences, toxicity._norms
+    monkeypatch.setattr(toxicity, "_occurrences", lambda group: looked.append(len(group)) or occurrences(group))
+    monkeypatch.setattr(toxicity, "_norms", lambda *a: normed.append(norms(*a)) or normed[-1])
+    reader = Reader(np.ascontiguousarray(triple_vectors(["idiot"]).T))
+    looked.clear()
+    reader.learn({"idiot", "idiot.", "1di0t.", "banana", "banana,", "lllamb"})
+    assert sum(looked) == 3 and sum(map(len, normed)) == 1
+    assert reader.near["banana"] is None and reader.near["1di0t."][0] == reader.near["idiot"][0] > 0.99
+
+
+def test_sentences_by_their_definition():
+    rng = np.random.default_rng(4)
+    words = ["idiot", "idi-ot", "m.oron", "moron!", "banana", "x", ".", "stop.", "qwertzuplkjhgfdsidiotmnbvcxy"]
+    texts_ = [" ".join(rng.choice(words, n)) for n in (0, 1, 2, 7, 40, 0, 300)] + ["", "banana. x", "idiot " * 5000 + "moron", "moron"]
+    marks = np.ascontiguousarray(triple_vectors(["idiot", "moron"]).T)
+    got = Reader(marks).sentences(texts_)
+    for text, rows in zip(texts_, got, strict=True):
+        expected, now = [], []
+        for word in [*spelled_out(text.split()), None]:
+            if word is not None:
+                now.append(similarities([word], marks)[0])
+            if now and (word is None or word.endswith((".", "!", "?"))):
+                near = [v for v in now if v.max() >= toxicity.NEAR]
+                expected += [np.max(near, axis=0)] if near else []
+                now = []
+        assert np.array_equal(rows, np.array(expected, np.float32).reshape(-1, 2))
+    assert all(len(s) == 0 for s in Reader(marks).sentences(["", "banana x"])) and Reader(marks).sentences([]) == []
