@@ -80,8 +80,13 @@ def sub(text: str, pattern: str, by: str = "") -> str:
     return f"regexp_replace({text}, {q(pattern)}, {q(by)})"
 
 
+#: What ``\s`` stands for under ``(?U)``.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: str) -> str:
-    return sub(text, r"(?U)^\s+|\s+\z")
+    """Without white space of any kind at both ends; a pattern would be tried at every place of the text."""
+    return f"btrim({text}, {q(WHITE)})"
 
 
 def title_case(text: str) -> str:

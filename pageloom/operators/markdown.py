@@ -183,7 +183,7 @@ def root_markdown() -> str:
     blocks = bind(
         "root", lambda r: keep("body", lambda n: f"{n}.tag not in ('', {containers}) and {matches(below_path(n, r), held)}")
     )
-    texts = keep(each(blocks, lambda n: block_markdown("visible", n)), lambda t: matches(t, r"(?U)\S"))
+    texts = keep(each(blocks, lambda n: block_markdown("visible", n)), lambda t: f"{strip(t)} <> ''")
     return strip(sub(f"array_join({texts}, {q('\n\n')})", r"\n{3,}", "\n\n"))
 
 
@@ -199,8 +199,8 @@ def drop_promo_text(markdown: str, site: Site) -> str:
     lines = each(
         f"split({markdown}, {q('\n')})",
         lambda s, i: struct(
-            i=i, s=s, starts=matches(s, PROMO_START),
-            stops=f"{matches(s, ANY_HEADING)} and not {matches(s, PROMO_WORD)} and not {matches(s, PROMO_START)}",
+            i=i, s=s, starts=f"startswith({s}, '#') and {matches(s, PROMO_START)}",
+            stops=f"startswith({s}, '#') and {matches(s, ANY_HEADING)} and not {matches(s, PROMO_WORD)} and not {matches(s, PROMO_START)}",
         ),
         2,
     )

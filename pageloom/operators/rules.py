@@ -71,7 +71,8 @@ class Site:
     @property
     def promo_text(self) -> str:
         phrases = PROMO_PHRASES + [r"learn\s+more\s+about\s+" + re.escape(self.label)]
-        return "(?iU)(" + "|".join(phrases) + ")"
+        # most places of a text are passed over by their letter, before any phrase is tried
+        return "(?iU)(?=[" + "".join(sorted({p[0] for p in phrases})) + "])(" + "|".join(phrases) + ")"
 
     @property
     def guide_link(self) -> str:
