@@ -2,7 +2,7 @@ import random
 import re
 
 from pageloom.functions.sql import strip
-from pageloom.operators.dom import _NodeLister, span
+from pageloom.operators.dom import _NodeLister, parse_pages, span
 from pageloom.operators.rules import Site
 
 PIECES = """<p>|</p>|<div class="a b">|</div>|text |a & b|&amp;|x < y|<br>|<BR>|<br/>|<script>|</script>|<script>var a="<p>x</p>";</script>
@@ -58,3 +58,12 @@ def test_promotional_phrases(spark):
     df = spark.createDataFrame([(t,) for t in lines], "t string").selectExpr("t rlike r'%s' as a" % Site().promo_text, "t rlike r'%s' as b" % plain)
     rows = df.collect()
     assert [r.a for r in rows] == [r.b for r in rows] and sum(r.a for r in rows) == 10
+
+
+def test_computed_pages_are_made_once(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, ""), (4, "b"), (5, "c")], "k int, t string")
+    pages = rows.selectExpr("k", "if(t = '', '', concat('<p>made', t, '</p>')) as html")
+    parsed = parse_pages(pages)
+    assert sorted(r.k for r in parsed.select("k").collect()) == [1, 4, 5]
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("<p>made") == 1
+    assert parse_pages(pages.where("k in (2, 3)")).collect() == []
