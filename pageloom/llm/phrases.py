@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageloom.functions.bits import bitmap as filled_bits
 from pageloom.llm.words import mix, slices, span_hashes, text_bytes, windows, word_hashes
 from pageloom.session import written
 
@@ -180,13 +181,9 @@ def _bits(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
-    """Two bits set for each ``key``; at most ``bits / 64`` rows come to the driver."""
+    """Two bits set for each ``key``; the executors fill them, so only the bitmap comes to the driver."""
     place = F.explode(F.array(F.col("key").bitwiseAND(bits - 1), F.shiftrightunsigned("key", 32).bitwiseAND(bits - 1)))
-    rows = frequent.select(place.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(bit & 31 AS INT))")).alias("set")).toPandas()
-    out = np.zeros(bits // 32, np.uint32)
-    out[rows["word"].to_numpy(np.int64)] = rows["set"].to_numpy(np.int64).astype(np.uint32)
-    return out
+    return filled_bits(frequent.select(place.alias("at")), bits).view(np.uint32)
 
 
 def _has(filled: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pageloom.functions.bits import bitmap
 from pageloom.functions.text import ENTITY_TYPES, confidence, entity_id, stringify
 from pageloom.operators.chunks import SUMMARY
 from pageloom.session import written
@@ -29,16 +30,11 @@ KNOWN = 100_000
 
 def first_words(names: DataFrame) -> tuple[np.ndarray, int]:
     """A bitmap of the hashes of the column ``word``, and its number of bits: a power of two that grows with the words,
-    at most ``BITS``. At most ``bits / 64`` rows come to the driver. It may let other words pass and stops none of these."""
+    at most ``BITS``. Only the bitmap itself comes to the driver. It may let other words pass and stops none of these."""
     n = names.agg(F.approx_count_distinct("word").alias("n")).first()["n"]
     bits = min(BITS, 1 << max(12, (n * BITS_EACH).bit_length()))
     at = F.crc32(F.encode("word", "UTF-8")).bitwiseAND(bits - 1).alias("at")
-    parts = names.where("word IS NOT NULL").select(at).groupBy(F.shiftright("at", 6).alias("part")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("set"))
-    out = np.zeros(bits // 64, np.int64)
-    for r in parts.toLocalIterator():
-        out[r["part"]] = r["set"]
-    return out.view(np.uint8), bits
+    return bitmap(names.where("word IS NOT NULL").select(at), bits), bits
 
 
 def words_with_offsets(df: DataFrame, text: str, lookahead: int = 0, wanted: tuple[np.ndarray, int] | None = None) -> DataFrame:
