@@ -146,12 +146,14 @@ def chunk_articles(
 
 def with_entity_ids(chunks: DataFrame, chunk_entities: DataFrame) -> DataFrame:
     """Adds ``entity_ids`` (mention order, repeats kept) and ``entity_count``. A chunk's mentions are
-    bounded by its text."""
+    bounded by its text. A chunk id belongs to one article; where both tables name it, as those of ``link_mentions`` do,
+    tables that are dealt by article meet without moving."""
+    keys = [c for c in ("source_article_id", "chunk_id") if c in chunks.columns and c in chunk_entities.columns]
     listed = F.transform(
         F.array_sort(F.collect_list(F.struct("position", "end_pos", "entity_id"))), lambda x: x["entity_id"]
     )
-    ids = chunk_entities.groupBy("chunk_id").agg(listed.alias("entity_ids"))
-    df = chunks.join(ids, "chunk_id", "left")
+    ids = chunk_entities.groupBy(*keys).agg(listed.alias("entity_ids"))
+    df = chunks.join(ids, keys, "left").select(*chunks.columns, "entity_ids")
     df = df.withColumn("entity_ids", F.coalesce("entity_ids", F.array().cast("array<string>")))
     return df.withColumn("entity_count", F.size("entity_ids").cast("long"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pageloom.functions.bits import bitmap
 from pageloom.functions.text import ENTITY_TYPES, confidence, entity_id, stringify
 from pageloom.operators.chunks import SUMMARY
-from pageloom.session import written
+from pageloom.session import light, prefer, written
 
 #: Lossless split into letter runs and what lies between them.
 PIECE = r"\p{L}+|[^\p{L}]+"
@@ -103,20 +103,20 @@ def extract_mentions(
     """Occurrences of gazetteer names in article text. ``gazetteer(name, entity_type)`` holds lower-case
     names; several words are parted by single blanks.
 
-    The gazetteer is written first, so that its size is known when the join is planned: Spark broadcasts it only when that
-    size allows it, and the words then stay where they are. Otherwise both sides hash on the whole name: each word offers
-    itself and what follows it, up to ``max_words`` words, so names that share a frequent first word do not meet all its
-    occurrences. In both forms only words that may begin a name leave the text. Skewed partitions of frequent words are
-    split by Spark."""
+    The gazetteer is written first and goes to all tasks if it is ``light``; the words then stay where they are.
+    Otherwise both sides hash on the whole name: each word offers itself and what follows it, up to ``max_words`` words,
+    so names that share a frequent first word do not meet all its occurrences. In both forms only words that may begin a
+    name leave the text. Skewed partitions of frequent words are split by Spark."""
     listed = written(gazetteer.select("name", "entity_type"), "names")
-    if max_words is None:
-        widest = listed.agg(F.max(F.size(F.split("name", " "))).alias("n")).first()["n"]
-        max_words = widest or 1
+    widest = listed.agg(F.max(F.size(F.split("name", " "))).alias("n")).first()["n"] or 1
+    max_words = max_words or widest
     carried = ["article_id", "chapter_number", "article_number"]
-    names = listed.withColumn("word", F.split_part(F.col("name"), F.lit(" "), F.lit(1)))
+    names = light(listed).withColumn("word", F.split_part(F.col("name"), F.lit(" "), F.lit(1)))
     words = words_with_offsets(articles.select(*carried, text), text, max_words - 1, first_words(names))
     source = F.col("source_text")
-    if max_words == 1:
+    if max_words == widest == 1:
+        hits = words.withColumnRenamed("word", "name").join(names.drop("word"), "name")
+    elif max_words == 1:
         hits = words.join(names, "word")
     else:
         offers = F.array(*[F.struct(
@@ -191,17 +191,22 @@ def link_mentions(chunks: DataFrame, mentions: DataFrame, width: int = 2048, par
     """``(chunk_id, source_article_id, entity_id, position, end_pos)``: text chunks by character range,
     summary chunks to every mention of the article, with or without a place. Repeated mentions repeat.
 
-    One join on article and stretch serves both, so chunks and mentions are read once. A summary stands in
-    ``parts`` stretches below zero, and each mention goes to one of them by its own stretch, so that the
-    mentions of one huge article spread there too. Mentions and chunks without an article link with nothing."""
+    One join on article and stretch serves both, so chunks and mentions are read once. Both are dealt by article before they
+    are cut into stretches, so each moves once (not at all if ``dealt``), and so do not the links where they are grouped within
+    articles. A summary stands in ``parts`` stretches below zero, and each mention goes to one of them by its own stretch.
+    An article's links are made in one task, as its chunks are. Mentions and chunks without an article link with nothing.
+    Sets ``spark.sql.requireAllClusterKeysForCoPartition`` to false as ``resolve_relationships`` does."""
+    prefer(chunks.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false")
     start, end = F.col("char_start"), F.col("char_end")
     nowhere = F.array().cast("array<bigint>")
-    c = chunks.select("chunk_id", F.col("source_article_id").alias("article_id"), "char_start", "char_end", F.explode(
+    c = chunks.select("chunk_id", F.col("source_article_id").alias("article_id"), "char_start", "char_end", "chunk_type").filter(
+        "article_id is not null").repartition("article_id").select("chunk_id", "article_id", "char_start", "char_end", F.explode(
         F.when(F.col("chunk_type") == SUMMARY, F.sequence(F.lit(-parts).cast("long"), F.lit(-1).cast("long")))
         .when(start.isNotNull() & end.isNotNull(), _stretches(start, end, width)).otherwise(nowhere)).alias("_at"))
     start, end = F.col("start_pos"), F.col("end_pos")
     home = -1 - F.pmod(F.coalesce(F.floor(start / width), F.lit(0).cast("long")), F.lit(parts))
-    m = mentions.select("article_id", "entity_id", "position", "start_pos", "end_pos", F.explode(F.concat(
+    m = mentions.select("article_id", "entity_id", "position", "start_pos", "end_pos").filter(
+        "article_id is not null").repartition("article_id").select("*", F.explode(F.concat(
         F.array(home), F.when(start.isNotNull() & end.isNotNull(), _stretches(start, end, width)).otherwise(nowhere))).alias("_at"))
     return c.join(m, ["article_id", "_at"]).filter((F.col("_at") < 0) | _meet(width)).select(
         "chunk_id", F.col("article_id").alias("source_article_id"), "entity_id", "position", "end_pos")

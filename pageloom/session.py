@@ -9,6 +9,10 @@ import uuid
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes that a table may take in memory to be sent to all tasks by ``light``, and those of a row beside its texts.
+SENT, ROW = 128 << 20, 64
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -74,15 +78,46 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps. It does so when the driver's garbage collector has found that
+    nothing refers to them, which by itself may take until a job has filled the disk."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, tag: str = "table") -> DataFrame:
     """A table that several later steps read: written once to the shared folder and read back, so the
-    steps neither recompute it nor depend on any executor keeping it."""
+    steps neither recompute it nor depend on any executor keeping it. What was shuffled to make it goes."""
     spark = df.sparkSession
     path = shared_path(spark, tag)
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, key: str, tag: str = "dealt") -> DataFrame:
+    """As ``written``, and dealt by the values of a column: windows, groups and joins over it, and over it with more columns,
+    read the table without moving its rows again. There are as many buckets as the session's shuffles have partitions.
+
+    Only a table of the session's catalog knows its buckets; its name goes at once, the files stay until the process ends."""
+    spark = df.sparkSession
+    path, name = shared_path(spark, tag), f"pageloom_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(buckets, key).write.format("parquet").option("path", path).option("compression", "zstd")
+    rows.bucketBy(buckets, key).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    release(spark)
+    return out
+
+
+def light(df: DataFrame) -> DataFrame:
+    """A written table, marked to be sent to all tasks of a join if it takes at most ``SENT`` bytes there: its rows are counted
+    and its texts measured, whatever size Spark would allow without a look at them."""
+    texts = [F.coalesce(F.sum(F.length(f.name)), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() == "string"]
+    rows, *sizes = df.agg(F.count(F.lit(1)), *texts).first()
+    return F.broadcast(df) if rows * ROW + sum(sizes) <= SENT else df
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give heavy per-row work one partition per core when the scan has fewer splits than cores.
 
