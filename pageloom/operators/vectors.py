@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.session import shared_path, written
+from pageloom.session import light, shared_path, written
 
 # Price per million tokens and vector width by model.
 PRICE_PER_MILLION = {"text-embedding-3-small": 0.02, "text-embedding-3-large": 0.13}
@@ -166,12 +166,17 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 def hybrid_lookup(queries: DataFrame, vectors: DataFrame, chunk_entities: DataFrame, k: int = 10, digits: int | None = None) -> DataFrame:
     """Top-k chunks per query, their entities, and every chunk of those entities:
-    ``(query_id, chunk_id, shared_entities)``."""
+    ``(query_id, chunk_id, shared_entities)``.
+
+    The hits and their entities are written and go to all tasks if they are ``light``. A chunk belongs to one article; where
+    ``chunk_entities`` names it as ``source_article_id`` and is ``dealt`` by it, no link moves."""
+    own = [c for c in ("source_article_id", "chunk_id") if c in chunk_entities.columns]
     hits = cosine_top_k(queries, vectors.withColumnRenamed("chunk_id", "id"), k, digits=digits).select(
         "query_id", F.col("id").alias("chunk_id")
     )
-    links = chunk_entities.select("chunk_id", "entity_id").distinct()
-    entities = hits.join(links, "chunk_id").select("query_id", "entity_id").distinct()
-    return entities.join(links, "entity_id").groupBy("query_id", "chunk_id").agg(
+    links = chunk_entities.select(*own, "entity_id").distinct()
+    found = chunk_entities.select("chunk_id", "entity_id").join(light(written(hits, "hits")), "chunk_id")
+    entities = light(written(found.select("query_id", "entity_id").distinct(), "entities"))
+    return links.join(entities, "entity_id").groupBy("query_id", *own).agg(
         F.count(F.lit(1)).alias("shared_entities")
-    )
+    ).select("query_id", "chunk_id", "shared_entities")

@@ -13,7 +13,7 @@ from pageloom.plans import standins as st
 from pageloom.plans.checks import register
 from pageloom.plans.checks.ctes import sql
 from pageloom.plans.checks.text import chunks, ints
-from pageloom.session import written
+from pageloom.session import dealt, written
 
 DIMS = 64
 
@@ -113,8 +113,8 @@ def vector_index_recall(spark, sf):
 SELECT query_id, chunk_id, count(*) AS shared_entities FROM (SELECT DISTINCT query_id, entity_id FROM best JOIN link USING (chunk_id) WHERE rank = 1)
 JOIN (SELECT DISTINCT chunk_id, entity_id FROM link) USING (entity_id) GROUP BY 1, 2""", "chunk", "link"))
 def hybrid_lookup(spark, sf):
-    df = written(chunks(spark, sf))
-    links = written(link_mentions(df, st.mentions(spark, sf)))
+    df = dealt(chunks(spark, sf), "source_article_id")
+    links = dealt(link_mentions(df, st.mentions(spark, sf)), "source_article_id")
     vectors = ve.embed_chunks(df, DIMS).select("chunk_id", "embedding")
     return ve.hybrid_lookup(questions(spark, sf), vectors, links, k=1, digits=6)
 
