@@ -31,15 +31,16 @@ RELATIONS = (
 )
 
 
-def export_graph(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    """Typed CSV per node and edge table; names are those of ``writers.HEADERS``."""
-    return {name: wr.write_graph_csv(df, name, folder) for name, df in tables.items()}
+def export_graph(tables: dict[str, DataFrame], folder: str, compression: str | None = None) -> dict[str, str]:
+    """Typed CSV per node and edge table; names are those of ``writers.HEADERS``. Files are plain unless a
+    ``compression`` is named (as ``gzip``)."""
+    return {name: wr.write_graph_csv(df, name, folder, compression) for name, df in tables.items()}
 
 
-def export_chunks(chunks: DataFrame, folder: str, embeddings: DataFrame | None = None) -> dict[str, str]:
-    paths = {"chunks": wr.write_jsonl(wr.chunk_records(chunks), f"{folder}/chunks")}
+def export_chunks(chunks: DataFrame, folder: str, embeddings: DataFrame | None = None, compression: str | None = None) -> dict[str, str]:
+    paths = {"chunks": wr.write_jsonl(wr.chunk_records(chunks), f"{folder}/chunks", compression)}
     if embeddings is not None:
-        paths["embeddings"] = wr.write_jsonl(wr.embedding_records(embeddings), f"{folder}/embeddings")
+        paths["embeddings"] = wr.write_jsonl(wr.embedding_records(embeddings), f"{folder}/embeddings", compression)
     return paths
 
 
