@@ -81,7 +81,7 @@ UNION ALL SELECT 'rels_chunk_entity', count(*) FROM link UNION ALL SELECT 'chunk
 UNION ALL SELECT 'entity ids of chunks', count(*) FROM link""", "chap", "doc", "entity", "term", "chunk", "mention", "relation", "link"))
 def export_all(spark, sf):
     """Every node, edge, chunk and vector file, read back and counted; chunk records hold their entity ids."""
-    out, arts, found, df = folder(spark), st.articles(spark, sf), dealt(st.mentions(spark, sf), "article_id"), dealt(chunks(spark, sf), "source_article_id")
+    out, arts, found, df = folder(spark), st.articles(spark, sf), dealt(st.mentions(spark, sf), "article_id"), written(chunks(spark, sf), "chunks", "source_article_id")
     links = dealt(link_mentions(df, found), "source_article_id")
     linked = with_entity_ids(df, links)  # its texts are read by the records only and are not written again
     rels = rl.collect_relationships(rl.resolve_relationships(st.raw_relationships(found), found))

@@ -84,9 +84,12 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def written(df: DataFrame, tag: str = "table") -> DataFrame:
+def written(df: DataFrame, tag: str = "table", by: str = "") -> DataFrame:
     """A table that several later steps read: written once to the shared folder and read back, so the
-    steps neither recompute it nor depend on any executor keeping it. What was shuffled to make it goes."""
+    steps neither recompute it nor depend on any executor keeping it. What was shuffled to make it goes. ``by`` names
+    the column of a table that is to be ``dealt``."""
+    if by:
+        return dealt(df, by, tag)
     spark = df.sparkSession
     path = shared_path(spark, tag)
     df.write.parquet(path)
